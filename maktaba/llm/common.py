@@ -71,17 +71,16 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int =
             at = to
 
 
-def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
-    """The column's strings; null is empty."""
-    return [x or "" for x in batch.column(column).to_pylist()]
-
-
-def bytes_of(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
-    """All texts of the batch as one byte array, and the n+1 offsets of the texts; null is empty."""
-    values = [x or b"" for x in batch.column(column).cast(pa.large_binary()).to_pylist()]
-    offsets = np.zeros(len(values) + 1, np.int64)
-    np.cumsum([len(v) for v in values], out=offsets[1:])
-    return np.frombuffer(b"".join(values), np.uint8), offsets
+def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All texts (null: empty) as one byte array without a copy, and the n+1 offsets of the texts in it."""
+    texts = texts.cast(pa.large_binary())
+    if texts.null_count:
+        texts = pc.fill_null(texts, b"")
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+    data = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] is not None else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, knn_quality, quality_rules, url_rules
+from . import bpe, knn_quality, packing, quality_rules, token_io, url_rules
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,11 +31,21 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op7_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return knn_quality.classify(docs, knn_quality.learn(docs, _read(spark, sf_dir, "labels")))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_io.store_and_read(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     file, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     found = bpe.decode(bpe.encode(_read(spark, sf_dir, "documents"), file, pattern), file, pattern)
@@ -45,7 +55,9 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_url_rules": op3_url_rules,
+    "op5_packing": op5_packing,
     "op7_knn_quality": op7_knn_quality,
+    "op8_token_files": op8_token_files,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
