@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -139,11 +140,18 @@ def id_ranges(df: DataFrame, column: str, n: int) -> DataFrame:
     bounds = sorted(set(found))
     if not bounds:
         return df.withColumn("_bucket", F.lit(0))
-    return df.withColumn("_bucket", F.when(F.col(column).isNull(), F.lit(0)).otherwise(_upper_bound(bounds, F.col(column))))
+    if len(bounds) <= 512:
+        return df.withColumn("_bucket", F.when(F.col(column).isNull(), F.lit(0)).otherwise(_upper_bound(bounds, F.col(column))))
+
+    @F.pandas_udf("int")
+    def position(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(np.array(bounds), ids.to_numpy(), side="right").astype(np.int32))
+
+    return df.withColumn("_bucket", F.when(F.col(column).isNull(), F.lit(0)).otherwise(position(F.coalesce(column, F.lit(bounds[0])))))
 
 
 def _upper_bound(bounds: list, column):
-    """Nested when() over the sorted bounds, halved at each level: about log2(n) comparisons a row."""
+    """Nested when() over the sorted bounds, halved at each level: about log2(n) comparisons a row, inside generated code."""
 
     def tree(lo: int, hi: int):
         if lo == hi:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, knn_quality, packing, quality_rules, token_io, url_rules
+from . import bpe, knn_quality, packing, quality_rules, token_io, url_rules, winnow
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.compare_with_next(_read(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -55,6 +59,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_url_rules": op3_url_rules,
+    "op4_winnowing": op4_winnowing,
     "op5_packing": op5_packing,
     "op7_knn_quality": op7_knn_quality,
     "op8_token_files": op8_token_files,
