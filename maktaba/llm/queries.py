@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, knn_quality, packing, quality_rules, token_io, url_rules, winnow
+from . import bpe, knn_quality, packing, quality_rules, token_io, url_rules, warc, winnow
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -40,6 +40,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.write_and_read(_read(spark, sf_dir, "pages"))
+    return captures.select(
+        F.col("metadata")[0]["fields"]["page_id"].cast("long").alias("page_id"), "response.payload_bytes", "response.payload_digest", "response.record_type",
+        F.regexp_extract("response.refers_to", r"^<urn:capture:(\d+):response>$", 1).try_cast("long").alias("refers_to"),
+    )
+
+
 def op7_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return knn_quality.classify(docs, knn_quality.learn(docs, _read(spark, sf_dir, "labels")))
@@ -61,12 +69,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_rules": op3_url_rules,
     "op4_winnowing": op4_winnowing,
     "op5_packing": op5_packing,
+    "op6_warc": op6_warc,
     "op7_knn_quality": op7_knn_quality,
     "op8_token_files": op8_token_files,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
+    # Base32 of a SHA-1: 160 bits in 32 groups of five, each taken from the hex digits around it.
+    "op6_warc": r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), d AS (
+  SELECT page_id, html, hex, max(page_id) OVER (PARTITION BY html) AS last,
+         list_transform(range(40), lambda i: strpos('0123456789abcdef', substr(hex, CAST(i AS INT) + 1, 1)) - 1) AS nibbles
+  FROM p
+), b AS (
+  SELECT *, list_transform(range(160), lambda i: (nibbles[CAST(i // 4 AS INT) + 1] >> CAST(3 - i % 4 AS INT)) & 1) AS bits FROM d
+)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda g: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(16 * bits[5*g+1] + 8 * bits[5*g+2] + 4 * bits[5*g+3] + 2 * bits[5*g+4] + bits[5*g+5] AS INT) + 1, 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM b
+""",
     "op3_url_rules": r"""
 WITH parts AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
