@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, knn_quality, packing, quality_rules, token_io, url_rules, warc, winnow
+from . import bpe, knn_quality, ngram_join, packing, quality_rules, token_io, url_rules, warc, winnow
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_url_rules": op3_url_rules,
@@ -73,9 +77,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_knn_quality": op7_knn_quality,
     "op8_token_files": op8_token_files,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLES: dict[str, str] = {
+    "op10_ngram_join": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, sha256(array_to_string(w[CAST(i AS INT):CAST(i AS INT) + 4], ' ')) AS s
+  FROM words, unnest(range(1, greatest(2, len(w) - 3))) AS u(i) WHERE len(w) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(other) FROM reach r WHERE r.doc_id = d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+""",
     # Base32 of a SHA-1: 160 bits in 32 groups of five, each taken from the hex digits around it.
     "op6_warc": r"""
 WITH p AS (
