@@ -8,13 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, knn_quality, ngram_join, packing, quality_rules, token_io, url_rules, warc, winnow
+from . import bpe, knn_quality, ngram_join, packing, quality_rules, suffix_dedup, token_io, url_rules, warc, winnow
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup(_read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge(docs, quality_rules.learn(docs, _read(spark, sf_dir, "labels")))
@@ -69,6 +76,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_url_rules": op3_url_rules,
     "op4_winnowing": op4_winnowing,
@@ -81,6 +89,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_suffix_dedup": r"""
+WITH d AS (
+  SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents
+), s AS (
+  SELECT doc_id, i, substr(h, CAST(2 * i + 1 AS INT), 100) AS g FROM d, unnest(range(greatest(0, length(h) // 2 - 49))) AS u(i)
+), hit AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM s) WHERE least < doc_id
+), edges AS (
+  SELECT doc_id, i, lag(i) OVER w AS before, lead(i) OVER w AS after FROM hit WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), firsts AS (
+  SELECT doc_id, i AS a, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM edges WHERE before IS NULL OR i > before + 50
+), lasts AS (
+  SELECT doc_id, i + 50 AS b, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM edges WHERE after IS NULL OR after > i + 50
+), spans AS (
+  SELECT doc_id, a, b, k, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY k) AS last FROM firsts JOIN lasts USING (doc_id, k)
+), parts AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS done,
+         string_agg(substr(h, CAST(2 * last + 1 AS INT), CAST(2 * (a - last) AS INT)), '' ORDER BY k) AS head
+  FROM spans JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, CAST(2 * coalesce(done, 0) + 1 AS INT)))) AS kept_sha256
+FROM d LEFT JOIN parts USING (doc_id)
+""",
     "op10_ngram_join": r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
