@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from maktaba.llm import knn_quality, quality_rules
+from maktaba.llm import knn_quality, ngram_join, packing, quality_rules, suffix_dedup
 from maktaba.llm.common import staged
 
 
@@ -22,7 +23,28 @@ def keep_by_neighbours(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return knn_quality.keep(docs, knn_quality.learn(docs, _labels(spark, sf_dir)))
 
 
-STAGES = [("quality rules", keep_by_rules), ("quality classifier", keep_by_neighbours)]
+def keep_one_of_alike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group that the n-gram Jaccard join finds."""
+    return ngram_join.keep_one(docs)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the strings that a document with a smaller id holds."""
+    return suffix_dedup.cut_repeats(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 2048 ids."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality rules", keep_by_rules),
+    ("quality classifier", keep_by_neighbours),
+    ("n-gram Jaccard join", keep_one_of_alike),
+    ("suffix-array dedup", cut_repeated_passages),
+    ("packing", pack_sequences),
+]
 
 #: Learnt models decide which documents stay, which SQL can't express; the tests hold the run against a brute-force version.
 ORACLE_SQL = None
@@ -31,8 +53,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir, each stage's result written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = staged(docs, name.replace(" ", "_"))
+            docs = staged(docs, f"stage_{i + 1}")
     return docs

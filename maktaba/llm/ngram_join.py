@@ -378,3 +378,16 @@ def join(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
     classes = classes.join(least, "component").select(F.col("node").alias("key1"), "key2", "n", "least")
     found = documents.join(classes, ["key1", "key2", "n"], "left")
     return found.select(F.col("_id").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("_id").isNotNull(), F.coalesce("least", "_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The row of docs with the least id of each component, all columns unchanged.
+
+    Of rows with that id and equal texts one stays; rows with that id and other texts all stay. A null id links with
+    nothing, so its rows stay.
+    """
+    found = join(docs, id_column=id_column, text_column=text_column)
+    least = found.filter(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias("_least")).distinct()
+    rows = docs.join(least, docs[id_column] == F.col("_least"), "left_semi")
+    twins = Window.partitionBy(id_column, F.xxhash64(text_column), F.octet_length(text_column)).orderBy(F.xxhash64(*docs.columns))
+    return rows.withColumn("_nth", F.row_number().over(twins)).filter("_nth = 1").drop("_nth").unionByName(docs.filter(F.col(id_column).isNull()))

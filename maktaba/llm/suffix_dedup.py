@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import RangeHash, filesystem, flat_bytes, partitions, shared_dir, staged, text_slices
@@ -109,9 +109,9 @@ class Phrases:
         return np.where(mine, out[self.lead], SAME).astype(np.uint8)
 
 
-def write_packs(docs: DataFrame, folder: str, id_column: str, text_column: str) -> DataFrame:
-    """Writes the texts as packs; pack and n_docs of each."""
-    rows = docs.select(F.col(id_column).cast("long").alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
+def write_packs(docs: DataFrame, folder: str, id_column: str, text_column: str, carried: Column) -> DataFrame:
+    """Writes the texts, and what is to come out again with them, as packs; pack and n_docs of each."""
+    rows = docs.select(F.col(id_column).cast("long").alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"), carried.alias("_carried"))
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = filesystem(folder)
@@ -121,9 +121,13 @@ def write_packs(docs: DataFrame, folder: str, id_column: str, text_column: str)
             data, offsets = flat_bytes(some.column("_text"))
             ids = some.column("_id")
             head = pickle.dumps((np.array([NO_ID if x is None else x for x in ids.to_pylist()], np.int64), ids.is_valid().to_numpy(zero_copy_only=False), np.asarray(offsets)))
+            more = pa.RecordBatch.from_arrays([some.column("_carried")], names=["carried"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, more.schema) as stream:
+                stream.write_batch(more)
             name = uuid.uuid4().hex
             with fs.open_output_stream(f"{root}/{name}") as f:
-                for part in (head, press.compress(data.tobytes())):
+                for part in (head, press.compress(data.tobytes()), press.compress(sink.getvalue().to_pybytes())):
                     f.write(len(part).to_bytes(8, "little"))
                     f.write(part)
             yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([len(ids)])], names=["pack", "n_docs"])
@@ -131,13 +135,16 @@ def write_packs(docs: DataFrame, folder: str, id_column: str, text_column: str)
     return staged(rows.mapInArrow(save, "pack string, n_docs long"), "packs")
 
 
-def open_pack(pack: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Order keys, which ids are known, offsets and bytes of a pack that write_packs wrote."""
+def open_pack(pack: str, part: int = 1):
+    """Order keys, which ids are known, offsets and bytes of a pack that write_packs wrote; with part 2 what it carries."""
     fs, path = filesystem(pack)
+    unpack = zstandard.ZstdDecompressor().decompress
     with fs.open_input_stream(path) as f:
-        docs, known, offsets = pickle.loads(f.read(int.from_bytes(f.read(8), "little")))
-        blob = f.read(int.from_bytes(f.read(8), "little"))
-    return docs, known, offsets, np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+        parts = [f.read(int.from_bytes(f.read(8), "little")) for _ in range(part + 1)]
+    if part == 2:
+        with pa.ipc.open_stream(unpack(parts[2])) as stream:
+            return stream.read_next_batch().column("carried")
+    return *pickle.loads(parts[0]), np.frombuffer(unpack(parts[1]), np.uint8)
 
 
 def chunks(docs: np.ndarray, offsets: np.ndarray, data: np.ndarray) -> Iterator[tuple[int, int, Phrases]]:
@@ -330,10 +337,16 @@ def covered_bytes(docs: np.ndarray, offsets: np.ndarray, data: np.ndarray, state
     return np.cumsum(step[:-1]) > 0
 
 
-def dedup(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: its id, n_bytes, spans (removed runs as start and end) and kept (the bytes that stay)."""
+def dedup(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", carry: bool = False) -> DataFrame:
+    """One row per document: its id, n_bytes, spans (removed runs as start and end) and kept (the bytes that stay).
+
+    With carry also kept_text, and carried: the other columns of docs as c0, c1, ... by their place.
+    """
     spark, buckets = docs.sparkSession, max(2, partitions(docs))
-    packs = write_packs(docs, shared_dir(spark, "pack_files"), id_column, text_column)
+    fields = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns) if carry and c != text_column]
+    carried = F.struct(*fields) if fields else F.struct(F.lit(0).alias("none"))
+    packs = write_packs(docs, shared_dir(spark, "pack_files"), id_column, text_column, carried)
+    extra = f", kept_text string, carried {docs.select(carried.alias('c')).schema['c'].dataType.simpleString()}" if carry else ""
     states = staged(dictionary_states(packs, buckets), "phrase_states")
     verdicts = staged(string_verdicts(states, buckets), "string_verdicts")
     rows = packs.select("pack").join(states.withColumnRenamed("answers", "states"), "pack", "left").join(verdicts.withColumnRenamed("answers", "verdicts"), "pack", "left")
@@ -349,6 +362,24 @@ def dedup(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
                     spans.append([{"start": int(x), "end": int(y)} for x, y in zip(edge[::2], edge[1::2])])
                     kept.append(data[a:b][~gone[a:b]].tobytes())
                 span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([pa.array(keys, mask=~known), pa.array(np.diff(offsets)), pa.array(spans, span), pa.array(kept, pa.binary())], names=[id_column, "n_bytes", "spans", "kept"])
+                arrays, names = [pa.array(keys, mask=~known), pa.array(np.diff(offsets)), pa.array(spans, span), pa.array(kept, pa.binary())], [id_column, "n_bytes", "spans", "kept"]
+                if carry:
+                    arrays += [pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()), open_pack(pack, 2)]
+                    names += ["kept_text", "carried"]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return rows.mapInArrow(cut, f"{id_column} long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary{extra}")
 
-    return rows.mapInArrow(cut, f"{id_column} long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+
+def cut_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", length_column: str | None = "n_chars") -> DataFrame:
+    """docs with the bytes that stay as text, and their number of characters in length_column if docs has it.
+
+    A cut may fall inside a character; the bytes of such a character that are left on their own are dropped. A null text
+    becomes an empty one.
+    """
+    found = dedup(docs, id_column=id_column, text_column=text_column, carry=True)
+    columns = {c: F.col(f"carried.c{i}") for i, c in enumerate(docs.columns)}
+    columns[text_column] = F.col("kept_text")
+    if length_column in columns:
+        columns[length_column] = F.when(F.size("spans") > 0, F.length("kept_text").cast(docs.schema[length_column].dataType)).otherwise(columns[length_column])
+    return found.select(*[x.alias(c) for c, x in columns.items()])
