@@ -26,7 +26,7 @@ CACHE_PIECES = 2_000_000
 CALL_CHARS = 1 << 18
 _ASCII_WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
 #: White space beyond ASCII: fixed values of Unicode.
-_OTHER_WHITE = "\u0085                 　"
+_OTHER_WHITE = "\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _ASCII_WHITE_TABLE = np.isin(np.arange(256), [ord(c) for c in _ASCII_WHITE])
 _WHITE_INSIDE = f"[{_ASCII_WHITE}{_OTHER_WHITE}]"
 #: A piece's mark tells what stands before it: a text's start, a space, or a line feed.
