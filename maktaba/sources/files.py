@@ -173,6 +173,6 @@ def extract(spark: SparkSession, paths: list[str] | str, *, force_ocr: bool = Fa
     return rows.select(
         F.col("path").alias("file_path"), F.regexp_extract("path", r"([^/]+)\z", 1).alias("file_name"), F.col("format").alias("file_format"), F.col("length").alias("file_size_bytes"),
         F.col("method").alias("extraction_method"), F.coalesce("total_pages", F.lit(0)).alias("total_pages"), F.coalesce("pages", F.array()).alias("pages"), F.coalesce("full_text", F.lit("")).alias("full_text"),
-        "avg_confidence", F.coalesce(F.col("is_scanned") | (F.col("method") == "ocr"), F.lit(False)).alias("is_scanned"), F.coalesce("has_arabic_content", F.lit(False)).alias("has_arabic_content"),
-        F.coalesce("has_french_content", F.lit(False)).alias("has_french_content"), F.concat(F.coalesce("_said", empty), F.coalesce("warnings", empty)).alias("warnings"),
+        "avg_confidence", F.coalesce(F.when(F.col("method") == "native_pdf", F.col("is_scanned")).otherwise(F.col("method") == "ocr"), F.lit(False)).alias("is_scanned"), F.coalesce("has_arabic_content", F.lit(False)).alias("has_arabic_content"),
+        F.coalesce("has_french_content", F.lit(False)).alias("has_french_content"), F.concat(F.coalesce("_said", empty), F.when(F.col("method") == "native_pdf", F.coalesce("warnings", empty)).otherwise(empty)).alias("warnings"),
     )
