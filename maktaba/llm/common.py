@@ -116,6 +116,11 @@ class RangeHash:
         spread *= up[: len(data)]
         np.cumsum(spread, out=self._sums[1:])
 
+    def every(self, length: int) -> np.ndarray:
+        """The hashes of all ranges of this length, in order."""
+        n = len(self._sums) - length
+        return mix((self._sums[length:] - self._sums[:n]) * self._down[:n]) if n > 0 else np.zeros(0, np.uint64)
+
     def __call__(self, starts, ends) -> np.ndarray:
         out = self._sums[ends] - self._sums[starts]
         out *= self._down[starts]

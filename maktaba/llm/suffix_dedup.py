@@ -24,40 +24,54 @@ columns, and `cut_repeats` passes them on.
 
 from __future__ import annotations
 
-import pickle
-import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RangeHash, filesystem, flat_bytes, partitions, shared_dir, staged, text_slices
+from .common import RangeHash, mix, partitions, shared_dir, staged
+from .packs import PACK_BYTES, by_bucket, carry_all, open_pack, to_buckets, write_packs
 
 LENGTH = 50
 K = 16
 WINDOW = LENGTH - K + 1
-#: Bytes of text in a pack, and in a chunk of a longer document.
-PACK_BYTES = 2 << 20
-NO_ID = (1 << 63) - 1
+#: In step 4 a partition's triggers fall into so many ranges; a task holds the phrases of one range at a time.
+RANGES = 4
 SAME, ASK, SOURCE = 1, 2, 3  # states of a phrase: covered whole; strings to be looked up; only looked at
 
 
-def window_minima(hashes: np.ndarray, window: int) -> np.ndarray:
-    """The position of the rightmost least hash in each window, by doubling the windows' length."""
-    if len(hashes) < window:
+def window_minima(hashes: np.ndarray, window: int, block: int = 1 << 15) -> np.ndarray:
+    """The position of the rightmost least hash in each window. Blocks keep the work inside the processor's cache."""
+    n = len(hashes) - window + 1
+    if n <= 0:
         return np.zeros(0, np.int32)
-    least, at, size = hashes, np.arange(len(hashes), dtype=np.int32), 1
+    out = np.empty(n, np.int32)
+    for lo in range(0, n, block):
+        hi = min(n, lo + block)
+        out[lo:hi] = _block_minima(hashes[lo : hi + window - 1], window)
+        out[lo:hi] += lo
+    return out
+
+
+def _block_minima(hashes: np.ndarray, window: int) -> np.ndarray:
+    least, size = hashes, 1
     while size < window:
         step = min(size, window - size)
-        right = least[step:] <= least[: len(least) - step]
-        at = np.where(right, at[step:], at[: len(at) - step])
         least = np.minimum(least[step:], least[: len(least) - step])
         size += step
-    return at
+    # Where the window's last hash is the least, it is the rightmost one. Where the least one has just left the window,
+    # the window is searched. Elsewhere the place stays, and places never fall, so a running maximum fills them in.
+    last = hashes[window - 1 :] == least
+    lost = ~last
+    lost[1:] &= least[1:] != least[:-1]
+    at = np.where(last, np.arange(window - 1, window - 1 + len(least), dtype=np.int32), np.int32(0))
+    where = np.flatnonzero(lost)
+    inside = hashes[where[:, None] + np.arange(window - 1, -1, -1)]
+    at[where] = where + window - 1 - inside.argmin(1)
+    return np.maximum.accumulate(at)
 
 
 class Phrases:
@@ -66,18 +80,23 @@ class Phrases:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, docs: np.ndarray):
         self.data, self.offsets = data, offsets
         ranges = RangeHash(data)
-        grams = np.arange(max(0, len(data) - K + 1))
-        at = window_minima(ranges(grams, grams + K), WINDOW)
-        text = np.searchsorted(offsets, np.arange(len(at)), side="right") - 1 if len(at) else np.zeros(0, np.int64)
-        starts = np.flatnonzero(np.arange(len(at)) + LENGTH <= offsets[text + 1]) if len(at) else np.zeros(0, np.int64)
-        at, text = at[starts], text[starts]
-        new = np.ones(len(starts), bool)
-        new[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1]) | (starts[1:] != starts[:-1] + 1)
+        at = window_minima(ranges.every(K), WINDOW)
+        # A string starts in each text but for its last LENGTH - 1 bytes.
+        long = np.flatnonzero(np.diff(offsets) >= LENGTH)
+        stops = offsets[long + 1] - LENGTH + 1
+        new = np.zeros(len(at) + 1, bool)
+        new[1:-1] = at[1:] != at[:-1]
+        new[offsets[long]] = True
+        new[stops] = True
         first = np.flatnonzero(new)
-        self.start, self.text, self.trigger = starts[first], text[first], at[first].astype(np.int64)
-        self.count = np.diff(first, append=len(starts))
+        ends = np.append(first[1:], len(at))
+        text = np.searchsorted(offsets, first, side="right") - 1
+        inside = first < offsets[np.minimum(text + 1, len(offsets) - 1)] - LENGTH + 1
+        self.start, self.text, self.count = first[inside], text[inside], (ends - first)[inside]
+        self.trigger = at[self.start].astype(np.int64)
         self.end = self.start + self.count + LENGTH - 1
-        self.trig = ranges(self.trigger, self.trigger + K)
+        # Least hashes crowd at the low end, so they are scrambled anew before ranges are cut.
+        self.trig = mix(ranges(self.trigger, self.trigger + K))
         # Two phrases are equal if their bytes are, and the trigger stands at the same place in both.
         whole = ranges(self.start, self.end) + (self.trigger - self.start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         self.unit = whole >> np.uint64(16)
@@ -109,44 +128,6 @@ class Phrases:
         return np.where(mine, out[self.lead], SAME).astype(np.uint8)
 
 
-def write_packs(docs: DataFrame, folder: str, id_column: str, text_column: str, carried: Column) -> DataFrame:
-    """Writes the texts, and what is to come out again with them, as packs; pack and n_docs of each."""
-    rows = docs.select(F.col(id_column).cast("long").alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"), carried.alias("_carried"))
-
-    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = filesystem(folder)
-        fs.create_dir(root, recursive=True)
-        press = zstandard.ZstdCompressor(level=1)
-        for some in text_slices(batches, "_text", PACK_BYTES):
-            data, offsets = flat_bytes(some.column("_text"))
-            ids = some.column("_id")
-            head = pickle.dumps((np.array([NO_ID if x is None else x for x in ids.to_pylist()], np.int64), ids.is_valid().to_numpy(zero_copy_only=False), np.asarray(offsets)))
-            more = pa.RecordBatch.from_arrays([some.column("_carried")], names=["carried"])
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, more.schema) as stream:
-                stream.write_batch(more)
-            name = uuid.uuid4().hex
-            with fs.open_output_stream(f"{root}/{name}") as f:
-                for part in (head, press.compress(data.tobytes()), press.compress(sink.getvalue().to_pybytes())):
-                    f.write(len(part).to_bytes(8, "little"))
-                    f.write(part)
-            yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([len(ids)])], names=["pack", "n_docs"])
-
-    return staged(rows.mapInArrow(save, "pack string, n_docs long"), "packs")
-
-
-def open_pack(pack: str, part: int = 1):
-    """Order keys, which ids are known, offsets and bytes of a pack that write_packs wrote; with part 2 what it carries."""
-    fs, path = filesystem(pack)
-    unpack = zstandard.ZstdDecompressor().decompress
-    with fs.open_input_stream(path) as f:
-        parts = [f.read(int.from_bytes(f.read(8), "little")) for _ in range(part + 1)]
-    if part == 2:
-        with pa.ipc.open_stream(unpack(parts[2])) as stream:
-            return stream.read_next_batch().column("carried")
-    return *pickle.loads(parts[0]), np.frombuffer(unpack(parts[1]), np.uint8)
-
-
 def chunks(docs: np.ndarray, offsets: np.ndarray, data: np.ndarray) -> Iterator[tuple[int, int, Phrases]]:
     """Number, first byte and parse of each chunk: the whole pack, or parts of one long document."""
     if len(data) <= 2 * PACK_BYTES:
@@ -201,19 +182,19 @@ def dictionary_states(packs: DataFrame, buckets: int) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in by_bucket(batches):
+            yield answer(rows)
+
+    def answer(rows: list[dict]) -> pa.RecordBatch:
         of: list[tuple] = []
         trigs, units, docs = [], [], []
-        for batch in batches:
-            for row in batch.to_pylist():
-                t = np.frombuffer(row["trig"], "<u4")
-                own = np.frombuffer(row["docs"], "<i8")
-                units.append(np.pad(np.frombuffer(row["unit"], np.uint8).reshape(-1, 6), ((0, 0), (0, 2))).copy().view("<u8").ravel())
-                docs.append(own[np.frombuffer(row["at"], f"<u{len(row['at']) // len(t)}")])
-                # The bucket joins the trigger's place, as a partition may get several ranges.
-                trigs.append(t.astype(np.uint64) | np.uint64(row["bucket"]) << np.uint64(33))
-                of.append((row["pack"], row["chunk"], row["bucket"], len(t)))
-        if not of:
-            return
+        for row in rows:
+            t = np.frombuffer(row["trig"], "<u4")
+            own = np.frombuffer(row["docs"], "<i8")
+            units.append(np.pad(np.frombuffer(row["unit"], np.uint8).reshape(-1, 6), ((0, 0), (0, 2))).copy().view("<u8").ravel())
+            docs.append(own[np.frombuffer(row["at"], f"<u{len(row['at']) // len(t)}")])
+            trigs.append(t)
+            of.append((row["pack"], row["chunk"], row["bucket"], len(t)))
         trig, unit, doc = np.concatenate(trigs), np.concatenate(units), np.concatenate(docs)
         del trigs, units, docs
         order = np.lexsort((doc, unit, trig))
@@ -230,11 +211,10 @@ def dictionary_states(packs: DataFrame, buckets: int) -> DataFrame:
         out = np.empty(len(state), np.uint8)
         out[order] = state
         ends = np.cumsum([n for *_, n in of])
-        rows = [(*x[:3], zlib.compress(out[e - x[3] : e].tobytes(), 1)) for x, e in zip(of, ends) if out[e - x[3] : e].any()]
-        yield _answers(rows)
+        return _answers([(*x[:3], zlib.compress(out[e - x[3] : e].tobytes(), 1)) for x, e in zip(of, ends) if out[e - x[3] : e].any()])
 
     sent = packs.select("pack").repartition(partitions(packs)).mapInArrow(send, "pack string, chunk int, bucket int, docs binary, at binary, trig binary, unit binary")
-    return _by_pack(sent.repartitionById(buckets, "bucket").mapInArrow(meet, ANSWER))
+    return _by_pack(to_buckets(sent).mapInArrow(meet, ANSWER))
 
 
 def string_ranks(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
@@ -255,7 +235,7 @@ def string_ranks(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
     return rank[:n].astype(np.int64)
 
 
-def string_verdicts(states: DataFrame, buckets: int) -> DataFrame:
+def string_verdicts(states: DataFrame, buckets: int, ranges: int) -> DataFrame:
     """Step 4: for the asked phrases of each blob, a bit for each string that a smaller document has."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,7 +251,7 @@ def string_verdicts(states: DataFrame, buckets: int) -> DataFrame:
                     if number not in parts:
                         continue
                     state, rows = p.states(parts[number], buckets), []
-                    for bucket, which in p.dealt(buckets):
+                    for bucket, which in p.dealt(ranges):
                         which = which[state[which] >= ASK]
                         if len(which):
                             phrases = b"".join(p.data[a:b].tobytes() for a, b in zip(p.start[which], p.end[which]))
@@ -280,16 +260,17 @@ def string_verdicts(states: DataFrame, buckets: int) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in by_bucket(batches):
+            yield answer(rows)
+
+    def answer(rows: list[dict]) -> pa.RecordBatch:
         of, docs, asked, counts, phrases = [], [], [], [], []
-        for batch in batches:
-            for row in batch.to_pylist():
-                docs.append(np.frombuffer(row["docs"], "<i8"))
-                asked.append(np.frombuffer(row["asked"], bool))
-                counts.append(np.frombuffer(row["counts"], np.uint8).astype(np.int64))
-                phrases.append(row["phrases"])
-                of.append((row["pack"], row["chunk"], row["bucket"], int(asked[-1].sum())))
-        if not of:
-            return
+        for row in rows:
+            docs.append(np.frombuffer(row["docs"], "<i8"))
+            asked.append(np.frombuffer(row["asked"], bool))
+            counts.append(np.frombuffer(row["counts"], np.uint8).astype(np.int64))
+            phrases.append(row["phrases"])
+            of.append((row["pack"], row["chunk"], row["bucket"], int(asked[-1].sum())))
         doc, ask, count = np.concatenate(docs), np.concatenate(asked), np.concatenate(counts)
         rank = string_ranks(np.frombuffer(b"".join(phrases), np.uint8))
         ends = np.cumsum(count + LENGTH - 1)
@@ -305,13 +286,13 @@ def string_verdicts(states: DataFrame, buckets: int) -> DataFrame:
         np.bitwise_or.at(masks, phrase[hit], np.uint64(1) << nth[hit].astype(np.uint64))
         masks = masks[ask]
         to = np.cumsum([n for *_, n in of])
-        yield _answers([(*x[:3], masks[e - x[3] : e].astype("<u8").tobytes()) for x, e in zip(of, to) if masks[e - x[3] : e].any()])
+        return _answers([(*x[:3], masks[e - x[3] : e].astype("<u8").tobytes()) for x, e in zip(of, to) if masks[e - x[3] : e].any()])
 
-    sent = states.mapInArrow(send, "pack string, chunk int, bucket int, docs binary, asked binary, counts binary, phrases binary")
-    return _by_pack(sent.repartitionById(buckets, "bucket").mapInArrow(meet, ANSWER))
+    sent = states.repartition(partitions(states)).mapInArrow(send, "pack string, chunk int, bucket int, docs binary, asked binary, counts binary, phrases binary")
+    return _by_pack(to_buckets(sent).mapInArrow(meet, ANSWER))
 
 
-def covered_bytes(docs: np.ndarray, offsets: np.ndarray, data: np.ndarray, states: list[dict] | None, verdicts: list[dict] | None, buckets: int) -> np.ndarray:
+def covered_bytes(docs: np.ndarray, offsets: np.ndarray, data: np.ndarray, states: list[dict] | None, verdicts: list[dict] | None, buckets: int, ranges: int) -> np.ndarray:
     """Which bytes of a pack go."""
     step = np.zeros(len(data) + 1, np.int32)
     first, second = _parts(states), _parts(verdicts)
@@ -325,7 +306,7 @@ def covered_bytes(docs: np.ndarray, offsets: np.ndarray, data: np.ndarray, state
         np.add.at(step, base + p.start[whole], 1)
         np.add.at(step, base + p.end[whole], -1)
         masks = np.zeros(len(state), np.uint64)
-        for bucket, which in p.dealt(buckets):
+        for bucket, which in p.dealt(ranges):
             if bucket in second.get(number, {}):
                 masks[which[state[which] == ASK]] = np.frombuffer(second[number][bucket], "<u8")
         masks = np.where(state == ASK, masks[p.lead], 0).astype(np.uint64)
@@ -343,19 +324,19 @@ def dedup(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
     With carry also kept_text, and carried: the other columns of docs as c0, c1, ... by their place.
     """
     spark, buckets = docs.sparkSession, max(2, partitions(docs))
-    fields = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns) if carry and c != text_column]
-    carried = F.struct(*fields) if fields else F.struct(F.lit(0).alias("none"))
-    packs = write_packs(docs, shared_dir(spark, "pack_files"), id_column, text_column, carried)
+    ranges = buckets * RANGES
+    carried = carry_all(docs, text_column) if carry else None
+    packs = write_packs(docs, shared_dir(spark, "pack_files"), id_column, text_column, carried, size=PACK_BYTES)
     extra = f", kept_text string, carried {docs.select(carried.alias('c')).schema['c'].dataType.simpleString()}" if carry else ""
     states = staged(dictionary_states(packs, buckets), "phrase_states")
-    verdicts = staged(string_verdicts(states, buckets), "string_verdicts")
+    verdicts = staged(string_verdicts(states, buckets, ranges), "string_verdicts")
     rows = packs.select("pack").join(states.withColumnRenamed("answers", "states"), "pack", "left").join(verdicts.withColumnRenamed("answers", "verdicts"), "pack", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for pack, first, second in zip(*(batch.column(c).to_pylist() for c in ("pack", "states", "verdicts"))):
                 keys, known, offsets, data = open_pack(pack)
-                gone = covered_bytes(keys, offsets, data, first, second, buckets)
+                gone = covered_bytes(keys, offsets, data, first, second, buckets, ranges)
                 spans, kept = [], []
                 for a, b in zip(offsets[:-1], offsets[1:]):
                     edge = np.flatnonzero(np.diff(np.concatenate([[False], gone[a:b], [False]]).astype(np.int8)))
@@ -368,18 +349,18 @@ def dedup(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
                     names += ["kept_text", "carried"]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return rows.mapInArrow(cut, f"{id_column} long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary{extra}")
+    return rows.repartition(partitions(rows)).mapInArrow(cut, f"{id_column} long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary{extra}")
 
 
 def cut_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", length_column: str | None = "n_chars") -> DataFrame:
     """docs with the bytes that stay as text, and their number of characters in length_column if docs has it.
 
     A cut may fall inside a character; the bytes of such a character that are left on their own are dropped. A null text
-    becomes an empty one.
+    stays null.
     """
     found = dedup(docs, id_column=id_column, text_column=text_column, carry=True)
     columns = {c: F.col(f"carried.c{i}") for i, c in enumerate(docs.columns)}
-    columns[text_column] = F.col("kept_text")
+    columns[text_column] = F.when(~F.col("carried.no_text"), F.col("kept_text"))
     if length_column in columns:
         columns[length_column] = F.when(F.size("spans") > 0, F.length("kept_text").cast(docs.schema[length_column].dataType)).otherwise(columns[length_column])
     return found.select(*[x.alias(c) for c, x in columns.items()])
