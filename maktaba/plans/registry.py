@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import replies as R
 from ..functions import text as T
-from ..operators import assembly, cleaning, correction, extraction, headers, structure
+from ..operators import assembly, cleaning, correction, extraction, headers, models, structure
 from ..sources import sinks
 from .laws import LAWS_SQL, laws
 
@@ -443,6 +443,40 @@ def article_log(spark, sf_dir):
     return sinks.log_line(_assembled(spark, sf_dir))
 
 
+_PROMPT = "'Texte : ' || coalesce(law_type, 'Unknown') || ' n° ' || coalesce(law_number, 'Unknown') || ' (' || coalesce(CAST(year AS STRING), 'Unknown') || '). Chapitre : ' || coalesce(chapter_detected, 'Non détecté') || '. Section : ' || coalesce(section_detected, 'Non détectée') || '.' || chr(10) || 'Rends un objet JSON avec les champs de la table des articles pour l''article suivant, sans commentaire.' || chr(10) || chr(10) || raw_text"
+
+
+@query("article_prompts", on_laws(f"SELECT doc_id, ord, {_PROMPT} AS prompt FROM articles JOIN head USING (doc_id)", f"{_ARTICLES}, {_HEADERS}"))
+def article_prompts(spark, sf_dir):
+    table = laws(spark, sf_dir)
+    return models.article_prompts(structure.split_articles(table), headers.regex_headers(table))
+
+
+@query(
+    "change_summary",
+    on_laws(
+        f"SELECT doc_id, 'Cleaning Summary:' || {N} || '  Characters: ' || format('{{:,}}', length(text)) || ' → ' || format('{{:,}}', length(cleaned_text)) || ' (' || format('{{:,}}', greatest(0, length(text) - length(cleaned_text))) || ' noise removed)' || {N} || "
+        f"'  Lines removed: ' || noise_lines_removed || {N} || '  Words corrected by LLM: 0' || {N} || '  Chunks processed: 0 (0 needed LLM)' || {N} || '  Duration: 1.50s' AS summary FROM cleaned",
+        _RULES,
+    ),
+)
+def change_summary(spark, sf_dir):
+    rows = cleaning.rule_clean(laws(spark, sf_dir))
+    none = F.lit(0)
+    return rows.select("doc_id", correction.change_summary(F.length("text"), F.length("cleaned_text"), F.col("noise_chars_removed"), F.col("noise_lines_removed"), none, none, none, F.lit(1.5)).alias("summary"))
+
+
+@query("article_report")
+def article_report(spark, sf_dir):
+    return sinks.report(_assembled(spark, sf_dir))
+
+
+@query("word_diff")
+def word_diff(spark, sf_dir):
+    text = F.col("text")
+    return laws(spark, sf_dir).select("doc_id", correction.word_diff(text, F.regexp_replace(text, "th", "ht")).alias("d")).select("doc_id", "d.changes", "d.remaining")
+
+
 # Pages and formats: each text of the documents table is a page of the law that it belongs to
 
 _PAGE = "CASE WHEN doc_id % 3 = 0 THEN left(text, 40) WHEN doc_id % 7 = 0 THEN ' ' ELSE text END"
