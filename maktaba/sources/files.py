@@ -16,13 +16,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text as T
 from ..operators import extraction
 
 Reader = Callable[[bytes], list[tuple[int, str, float | None]]]
 PAGES = "path string, page_number int, text string, confidence double, warning string"
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
-METHODS = {"txt": "plain_text", "docx": "docx_parse", "pdf": "native_pdf"}
 
 
 def check_paths(paths: list[str], format_override: str | None = None) -> None:
