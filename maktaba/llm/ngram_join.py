@@ -15,7 +15,8 @@ space); a text with fewer words has one shingle, all its words. Two documents li
 5. A member meets its candidates in a prefix tree of their ordered sets: shared beginnings are counted once, and a
    subtree is left as soon as the remaining length can't bring the overlap to the least that a link needs.
 
-Shingles travel as blobs, sorted by hash range, not as rows.
+Texts and sets lie in files of the shared folder; what travels is 32 bits of a shingle in blobs by hash range, an answer
+per blob, and the sets that a task compares.
 
 Cases: null or empty texts, or texts of white space, have an empty set, link with nothing and are their own component;
 rows with equal ids and texts give equal rows; a null id gives the component null, and its row links with nothing; very
@@ -24,26 +25,32 @@ long texts are taken whole; an empty table gives an empty result; other columns
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, RangeHash, flat_bytes, mix, partitions, staged, text_slices
+from .common import BASE, RangeHash, drop, filesystem, flat_bytes, made_since, mark, mix, partitions, shared_dir, staged, text_slices
 from .components import components
+from .packs import by_bucket, carry_all, open_pack, pick, to_buckets, write_packs
 
 N = 5
 #: 100 * intersection >= PERCENT * union
 PERCENT = 80
 #: Share of the hash range whose shingles are counted first.
 SKETCH = 0.35
-#: Members of a group that all others meet first.
+TOP = int(SKETCH * 2**64)
+#: Members of a group that all others meet first; each further round doubles them.
 CENTRES = 16
 #: Pairs left per index entry up to which all of them are compared at once; above it another round of centres comes first.
-LEFT_PER_ENTRY = 30
+LEFT_PER_ENTRY = 100
 MAX_ROUNDS = 6
+#: Nodes in a tree of the last round, about.
+BLOCK = 64
 SLICE_BYTES = 6 << 20
 _WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -96,145 +103,198 @@ def _set_keys(s: np.ndarray) -> tuple[int, int]:
     return int(one.view(np.int64)), int(two.view(np.int64))
 
 
-def _signed(a: np.ndarray) -> np.ndarray:
-    return a.astype(np.uint64).view(np.int64)
-
-
 def slack(n):
     """How many members of a set of n may lack in a set that links with it, at most."""
     return n * (100 - PERCENT) // 100
 
 
-def document_sets(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """_id, n, key1, key2 and sketch (members below SKETCH) of each document."""
+class PackSets:
+    """The sets of a pack's documents: one owner per distinct set, in order of appearance."""
+
+    def __init__(self, pack: str):
+        self.ids, self.known, offsets, data = open_pack(pack)
+        buffers = [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+        texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.ids), buffers)
+        self.sets = shingle_sets(texts)
+        self.keys = [_set_keys(s) for s in self.sets]
+        first: dict[int, int] = {}
+        self.owner = [first.setdefault(k, len(first)) if len(s) else -1 for (k, _), s in zip(self.keys, self.sets)]
+        self.owners = _first_places(self.owner, len(first))
+
+    def low(self, i: int) -> int:
+        """How many members of a document's set lie below SKETCH."""
+        return int(np.searchsorted(self.sets[i], np.uint64(TOP)))
+
+
+def _first_places(owner: list[int], n: int) -> list[int]:
+    out = [-1] * n
+    for i, o in enumerate(owner):
+        if o >= 0 and out[o] < 0:
+            out[o] = i
+    return out
+
+
+class Deal:
+    """Shingles of several sets by hash range: for each bucket its values' places in `values`, ascending by value within a set."""
+
+    def __init__(self, sets: list[np.ndarray], buckets: int, top: int):
+        self.values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        self.set = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        width = top // buckets + 1
+        bucket = (self.values // np.uint64(width)).astype(np.int32) if buckets > 1 else np.zeros(len(self.values), np.int32)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+        self.parts = [(int(bucket[p[0]]), p) for p in np.split(order, cuts) if len(p)]
+        self._width, self._shift = width, np.uint64(max(0, width.bit_length() - 32))
+
+    def short(self, bucket: int, places: np.ndarray) -> bytes:
+        """32 bits of each value's place in its bucket. Values that share them only make the work more, never less."""
+        return ((self.values[places] - np.uint64(bucket * self._width)) >> self._shift).astype("<u4").tobytes()
+
+
+def _answers(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["pack", "bucket", "answer"])
+
+
+def _ask(packs: DataFrame, send, answer, blob: str) -> DataFrame:
+    """pack and answers (bucket, answer): what `answer` makes of each blob that `send` makes of the packs."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in by_bucket(batches):
+            yield _answers(answer(rows))
+
+    sent = packs.repartition(partitions(packs)).mapInArrow(send, f"pack string, bucket int, {blob}")
+    found = to_buckets(sent).mapInArrow(meet, "pack string, bucket int, answer binary")
+    return found.groupBy("pack").agg(F.collect_list(F.struct("bucket", "answer")).alias("answers"))
+
+
+def document_sets(packs: DataFrame) -> DataFrame:
+    """pack, place, _id, n, key1 and key2 of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in text_slices(batches, "_text", SLICE_BYTES):
-            sets = shingle_sets(rows.column("_text"))
-            keys = [_set_keys(s) for s in sets]
-            low = [int(np.searchsorted(s, np.uint64(int(SKETCH * 2**64)))) for s in sets]
-            yield pa.RecordBatch.from_arrays([rows.column("_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()), pa.array(low, pa.int64())], names=["_id", "n", "key1", "key2", "sketch"])
-
-    return _id_text(docs, id_column, text_column).mapInArrow(run, "_id long, n long, key1 long, key2 long, sketch long")
-
-
-def _id_text(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    return docs.select(F.col(id_column).cast("long").alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
-
-
-def _deal(owners: list[int], sizes: list[int], sets: list[np.ndarray], buckets: int, top: int) -> Iterator[pa.RecordBatch]:
-    """One blob per hash range: the owners that have members there, with their sizes, and (place below the range's start, owner) pairs."""
-    if not sets:
-        return
-    values = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets])
-    width = top // buckets + 1
-    order = np.argsort(values, kind="stable")
-    values, owner = values[order], owner[order]
-    cuts = np.searchsorted(values, np.array([min(b * width, 2**64 - 1) for b in range(1, buckets)], np.uint64))
-    all_owners, all_sizes = np.array(owners, np.int64), np.array(sizes, np.int64)
-    found = []
-    for bucket, (v, o) in enumerate(zip(np.split(values, cuts), np.split(owner, cuts))):
-        if len(v):
-            here, local = np.unique(o, return_inverse=True)
-            found.append((bucket, all_owners[here].astype("<i8").tobytes(), all_sizes[here].astype("<i8").tobytes(), v.astype("<u8").tobytes(), local.astype("<u4" if len(here) > 1 << 16 else "<u2").tobytes()))
-    if found:
-        kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=["bucket", "owners", "sizes", "tokens", "at"])
-
-
-BLOB = "bucket int, owners binary, sizes binary, tokens binary, at binary"
-
-
-def _gather(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """token, owner, size of all distinct (token, owner) pairs of the blobs, in this order."""
-    tokens, owners, sizes = [], [], []
-    for batch in batches:
-        for o, n, t, at in zip(*(batch.column(c).to_pylist() for c in ("owners", "sizes", "tokens", "at"))):
-            o, n, t = np.frombuffer(o, "<i8"), np.frombuffer(n, "<i8"), np.frombuffer(t, "<u8")
-            at = np.frombuffer(at, f"<u{len(at) // max(1, len(t))}")
-            tokens.append(t)
-            owners.append(o[at])
-            sizes.append(n[at])
-    if not tokens:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    t, o, n = np.concatenate(tokens), np.concatenate(owners), np.concatenate(sizes)
-    order = np.lexsort((o, t))
-    t, o, n = t[order], o[order], n[order]
-    new = np.ones(len(t), bool)
-    new[1:] = (t[1:] != t[:-1]) | (o[1:] != o[:-1])
-    return t[new], o[new], n[new]
-
-
-def _counts(tokens: np.ndarray) -> np.ndarray:
-    """How often each entry's token occurs; tokens are sorted."""
-    edges = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
-    n = np.diff(edges, append=len(tokens))
-    return np.repeat(n, n)
-
-
-def shared_in_sketch(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """key1, shared: for each class, how many of its members below SKETCH another class holds too."""
-    buckets, top = partitions(docs), int(SKETCH * 2**64)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for rows in text_slices(batches, "_text", SLICE_BYTES):
-            owners, sets = [], []
-            for s in shingle_sets(rows.column("_text")):
-                key = _set_keys(s)[0]
-                if len(s) and key not in seen:
-                    seen.add(key)
-                    owners.append(key)
-                    sets.append(s[: np.searchsorted(s, np.uint64(top))])
-            yield from _deal(owners, [len(s) for s in sets], sets, buckets, top)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, owners, _ = _gather(batches)
-        found, n = np.unique(owners[_counts(tokens) >= 2], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["key1", "shared"])
-
-    dealt = _id_text(docs, id_column, text_column).select("_text").mapInArrow(deal, BLOB).repartitionById(buckets, "bucket")
-    return dealt.mapInArrow(count, "key1 long, shared long").groupBy("key1").agg(F.sum("shared").alias("shared"))
-
-
-def index_entries(sets: DataFrame) -> DataFrame:
-    """token, node, n: the places of step 3, from node, n and the sets as binary."""
-    buckets = partitions(sets)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in text_slices(batches, "tokens", SLICE_BYTES):
-            yield from _deal(rows.column("node").to_pylist(), rows.column("n").to_pylist(), [np.frombuffer(x, "<u8") for x in rows.column("tokens").to_pylist()], buckets, 2**64)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, owners, sizes = _gather(batches)
-        times = _counts(tokens)
-        order = np.flatnonzero(times >= 2)
-        order = order[np.argsort(owners[order], kind="stable")]
-        edges = np.flatnonzero(np.concatenate([[True], np.diff(owners[order]) != 0])) if len(order) else []
-        rows = [(int(owners[i[0]]), int(sizes[i[0]]), tokens[i].astype("<u8").tobytes(), times[i].astype("<u8").tobytes()) for i in np.split(order, edges[1:])] if len(order) else []
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["node", "n", "tokens", "times"])
+        for batch in batches:
+            for pack in batch.column("pack").to_pylist():
+                p = PackSets(pack)
+                n = len(p.ids)
+                arrays = [pa.array([pack] * n), pa.array(np.arange(n)), pa.array(p.ids, mask=~p.known), pa.array([len(s) for s in p.sets], pa.int64()), pa.array([k for k, _ in p.keys], pa.int64()), pa.array([k for _, k in p.keys], pa.int64())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["pack", "place", "_id", "n", "key1", "key2"])
+
+    return packs.select("pack").repartition(partitions(packs)).mapInArrow(run, "pack string, place long, _id long, n long, key1 long, key2 long")
+
+
+def shared_in_sketch(packs: DataFrame, buckets: int) -> DataFrame:
+    """Step 2. For each blob: of each owner in it, how many of its members another class holds too."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pack in batch.column("pack").to_pylist():
+                p = PackSets(pack)
+                low = [p.sets[i][: p.low(i)] for i in p.owners]
+                deal, keys = Deal(low, buckets, TOP), np.array([p.keys[i][0] for i in p.owners], np.int64)
+                rows = []
+                for bucket, places in deal.parts:
+                    here, at = np.unique(deal.set[places], return_inverse=True)
+                    rows.append((pack, bucket, keys[here].astype("<i8").tobytes(), at.astype("<u4" if len(here) > 1 << 16 else "<u2").tobytes(), deal.short(bucket, places)))
+                if rows:
+                    kinds = [pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["pack", "bucket", "owners", "at", "tokens"])
+
+    def answer(rows: list[dict]) -> list[tuple]:
+        tokens = [np.frombuffer(r["tokens"], "<u4") for r in rows]
+        owners = [np.frombuffer(r["owners"], "<i8") for r in rows]
+        at = [np.frombuffer(r["at"], f"<u{len(r['at']) // len(t)}").astype(np.int64) for r, t in zip(rows, tokens)]
+        t, o = np.concatenate(tokens), np.concatenate([o[a] for o, a in zip(owners, at)])
+        order = np.lexsort((o, t))
+        t, o = t[order], o[order]
+        # A token is shared if the owners of its run are not all the same.
+        starts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+        ends = np.append(starts[1:], len(t))
+        shared = np.empty(len(t), bool)
+        shared[order] = np.repeat(o[starts] != o[ends - 1], ends - starts)
+        out, lo = [], 0
+        for r, own, a in zip(rows, owners, at):
+            counts = np.bincount(a[shared[lo : lo + len(a)]], minlength=len(own))
+            lo += len(a)
+            if counts.any():
+                out.append((r["pack"], r["bucket"], zlib.compress(counts.astype("<u4").tobytes(), 1)))
+        return out
+
+    return _ask(packs, send, answer, "owners binary, at binary, tokens binary")
+
+
+def write_sets(packs: DataFrame, documents: DataFrame, shared: DataFrame, buckets: int, folder: str) -> DataFrame:
+    """Writes the sets of the classes that step 2 leaves, and returns the manifest: pack, nodes and sizes of each file.
+
+    A class has the first key of its set as node; its document with the least id stands for it.
+    """
+    chosen = documents.filter("n > 0 and _id is not null").groupBy("key1", "key2", "n").agg(F.min(F.struct("_id", "pack", "place")).alias("c"))
+    chosen = chosen.groupBy("c.pack").agg(F.collect_list("c.place").alias("places"))  # of one pack, a few hundred at most
+    rows = packs.select("pack").join(chosen, "pack").join(shared, "pack", "left")
+
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = filesystem(folder)
+        fs.create_dir(root, recursive=True)
+        for batch in batches:
+            for pack, places, answers in zip(*(batch.column(c).to_pylist() for c in ("pack", "places", "answers"))):
+                p = PackSets(pack)
+                deal = Deal([p.sets[i][: p.low(i)] for i in p.owners], buckets, TOP)
+                counts, given = np.zeros(len(p.owners), np.int64), {x["bucket"]: x["answer"] for x in answers or []}
+                for bucket, places_ in deal.parts:
+                    if bucket in given:
+                        counts[np.unique(deal.set[places_])] += np.frombuffer(zlib.decompress(given[bucket]), "<u4")
+                able = [i for i in sorted(places) if counts[p.owner[i]] >= p.low(i) - slack(len(p.sets[i]))]
+                if able:
+                    name = uuid.uuid4().hex
+                    with fs.open_output_stream(f"{root}/{name}") as f:
+                        for i in able:
+                            f.write(p.sets[i].astype("<u8").tobytes())
+                    nodes, sizes = np.array([p.keys[i][0] for i in able], "<i8"), np.array([len(p.sets[i]) for i in able], "<i8")
+                    yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([nodes.tobytes()], pa.binary()), pa.array([sizes.tobytes()], pa.binary())], names=["pack", "nodes", "sizes"])
+
+    return staged(rows.repartition(partitions(packs)).mapInArrow(save, "pack string, nodes binary, sizes binary"), "sets")
+
+
+def open_sets(pack: str, sizes: np.ndarray) -> list[np.ndarray]:
+    fs, path = filesystem(pack)
+    with fs.open_input_stream(path) as f:
+        return np.split(np.frombuffer(f.read(), "<u8"), np.cumsum(sizes)[:-1])
+
+
+def index_entries(files: DataFrame, buckets: int) -> DataFrame:
+    """Step 3: token, node, n of the indexed places."""
+    manifest = files.select("pack", "sizes", "nodes")
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pack, sizes in zip(batch.column("pack").to_pylist(), batch.column("sizes").to_pylist()):
+                deal = Deal(open_sets(pack, np.frombuffer(sizes, "<i8")), buckets, 2**64)
+                rows = [(pack, bucket, deal.short(bucket, places)) for bucket, places in deal.parts]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate([pa.string(), pa.int32(), pa.binary()])], names=["pack", "bucket", "tokens"])
+
+    def answer(rows: list[dict]) -> list[tuple]:
+        # Each class is in one file only, so a token's count is the number of classes that hold it.
+        tokens = [np.frombuffer(r["tokens"], "<u4") for r in rows]
+        _, inverse, counts = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+        times = counts[inverse].astype("<u4")
+        return [(r["pack"], r["bucket"], zlib.compress(t.tobytes(), 1)) for r, t in zip(rows, np.split(times, np.cumsum([len(t) for t in tokens])[:-1]))]
+
+    found = _ask(manifest, send, answer, "tokens binary")
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens, nodes, sizes = [], [], []
-            for node, n, parts in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "parts"))):
-                t = np.concatenate([np.frombuffer(p["tokens"], "<u8") for p in parts])
-                times = np.concatenate([np.frombuffer(p["times"], "<u8") for p in parts])
-                take = int(slack(n)) + 1 - (n - len(t))  # the members that no other set holds come first
-                if take > 0:
-                    some = t[np.lexsort((t, times))[:take]]
-                    tokens.append(some)
-                    nodes.append(np.full(len(some), node, np.int64))
-                    sizes.append(np.full(len(some), n, np.int64))
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(tokens))), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))], names=["token", "node", "n"])
-
-    counted = sets.mapInArrow(deal, BLOB).repartitionById(buckets, "bucket").mapInArrow(count, "node long, n long, tokens binary, times binary")
-    # A set's parts: at most one per hash range, of its own size together.
-    parts = counted.groupBy("node").agg(F.first("n").alias("n"), F.collect_list(F.struct("tokens", "times")).alias("parts"))
-    return parts.mapInArrow(prefix, "token long, node long, n long")
+            for pack, sizes, nodes, answers in zip(*(batch.column(c).to_pylist() for c in ("pack", "sizes", "nodes", "answers"))):
+                sizes, nodes = np.frombuffer(sizes, "<i8"), np.frombuffer(nodes, "<i8")
+                deal = Deal(open_sets(pack, sizes), buckets, 2**64)
+                times, given = np.ones(len(deal.values), np.int64), {x["bucket"]: x["answer"] for x in answers}
+                for bucket, places in deal.parts:
+                    times[places] = np.frombuffer(zlib.decompress(given[bucket]), "<u4")
+                order = np.lexsort((deal.values, times, deal.set))
+                nth = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                taken = order[(nth <= slack(sizes)[deal.set[order]]) & (times[order] >= 2)]
+                yield pa.RecordBatch.from_arrays([pa.array(deal.values[taken].astype(np.uint64).view(np.int64)), pa.array(nodes[deal.set[taken]]), pa.array(sizes[deal.set[taken]])], names=["token", "node", "n"])
+
+    return manifest.join(found, "pack").repartition(partitions(files)).mapInArrow(prefix, "token long, node long, n long")
 
 
 class PrefixTree:
@@ -281,113 +341,221 @@ class PrefixTree:
         return found
 
 
-def links(pairs: DataFrame, sets: DataFrame, *, chunks: int = 1) -> DataFrame:
-    """The pairs (member, centre) whose sets link, as a, b. A member's candidates go to one prefix tree (or `chunks` trees)."""
-    n = partitions(sets)
-    members = pairs.groupBy("member", F.pmod(F.xxhash64("centre"), F.lit(chunks)).alias("chunk")).agg(F.sort_array(F.collect_set("centre")).alias("centres"))
-    # Members of one group mostly have the same first centre and share a tree; salting splits large groups.
-    members = members.withColumn("key", F.pmod(F.xxhash64(F.col("centres")[0], F.pmod(F.xxhash64("member"), F.lit(8))), F.lit(n)).cast("int"))
-    members = staged(members, "candidates")
-    centres = members.select("key", F.explode("centres").alias("node")).distinct()
-    sent = centres.join(sets.select("node", "tokens"), "node").select("key", F.lit(0).alias("kind"), "node", "tokens", F.lit(None).cast("array<long>").alias("centres"))
-    asked = members.join(sets.select(F.col("node").alias("member"), "tokens"), "member").select("key", F.lit(1).alias("kind"), F.col("member").alias("node"), "tokens", "centres")
+def _fetch(needed: DataFrame, files: DataFrame) -> DataFrame:
+    """key, node, tokens for the wanted (key, node) rows: each set goes to each task that needs it once, from its file."""
+    n = partitions(files)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pack, nodes in zip(batch.column("pack").to_pylist(), batch.column("nodes").to_pylist()):
+                nodes = np.frombuffer(nodes, "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([pack] * len(nodes)), pa.array(np.arange(len(nodes)))], names=["node", "pack", "place"])
+
+    where = files.select("pack", "nodes").mapInArrow(places, "node long, pack string, place long")
+    wanted = needed.groupBy("node").agg(F.collect_set("key").alias("keys")).join(where, "node")  # at most n keys a node
+    orders = wanted.groupBy("pack").agg(F.collect_list(F.struct("place", "keys")).alias("orders")).join(files, "pack")
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pack, nodes, sizes, orders in zip(*(batch.column(c).to_pylist() for c in ("pack", "nodes", "sizes", "orders"))):
+                sets, nodes = open_sets(pack, np.frombuffer(sizes, "<i8")), np.frombuffer(nodes, "<i8")
+                for x in orders:
+                    i, k = x["place"], len(x["keys"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x["keys"], pa.int32()), pa.array([nodes[i]] * k, pa.int64()), pa.array([sets[i].tobytes()] * k, pa.binary())], names=["key", "node", "tokens"])
+
+    return orders.repartition(n).mapInArrow(fetch, "key int, node long, tokens binary")
+
+
+def links(asked: DataFrame, trees: DataFrame, files: DataFrame) -> DataFrame:
+    """a, b: links that connect all that the members' links with their trees connect. asked: tree, member. trees: tree, nodes.
+
+    A tree's key tells the task that builds it; each member passes through the tree. A task gives a link only if its
+    earlier ones don't connect the two sets yet, and a member that is connected with a whole tree doesn't pass through it.
+    """
+    n = partitions(files)
+    asked = staged(asked.withColumn("key", F.pmod(F.xxhash64("tree"), F.lit(n)).cast("int")), "asked")
+    trees = staged(trees.withColumn("key", F.pmod(F.xxhash64("tree"), F.lit(n)).cast("int")), "trees")
+    needed = asked.select("key", F.col("member").alias("node")).union(trees.select("key", F.explode("nodes"))).distinct()
+    null = lambda kind: F.lit(None).cast(kind)
+    rows = _fetch(needed, files).select("key", null("long").alias("tree"), F.lit(0).alias("kind"), "node", "tokens", null("array<long>").alias("nodes"))
+    rows = rows.union(trees.select("key", "tree", F.lit(1), null("long"), null("binary"), "nodes")).union(asked.select("key", "tree", F.lit(2), "member", null("binary"), null("array<long>")))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, last, tree = None, {}, None, None
-        for rows in text_slices(batches, "tokens", SLICE_BYTES):
+        key, held, nodes, tree, top = None, {}, [], None, {}
+
+        def find(x: int) -> int:
+            while (up := top.setdefault(x, x)) != x:
+                top[x] = x = top[up]
+            return x
+
+        for some in text_slices(batches, "tokens", SLICE_BYTES):
             a, b = [], []
-            for k, kind, node, tokens, centres in zip(*(rows.column(c).to_pylist() for c in ("key", "kind", "node", "tokens", "centres"))):
+            for k, kind, node, tokens, members in zip(*(some.column(c).to_pylist() for c in ("key", "kind", "node", "tokens", "nodes"))):
                 if k != key:
-                    key, held, last = k, {}, None
+                    key, held, top = k, {}, {}
                 if kind == 0:
                     held[node] = np.frombuffer(tokens, "<u8")
-                    continue
-                if centres != last:
-                    last, tree = centres, PrefixTree([held[c] for c in centres])
-                for i in tree.alike(np.frombuffer(tokens, "<u8")):
-                    a.append(node)
-                    b.append(centres[i])
+                elif kind == 1:
+                    nodes, tree = members, PrefixTree([held[x] for x in members])
+                elif any(find(x) != find(node) for x in nodes):
+                    for i in tree.alike(held[node]):
+                        if find(nodes[i]) != find(node):
+                            top[find(node)] = find(nodes[i])
+                            a.append(node)
+                            b.append(nodes[i])
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    rows = sent.union(asked).repartitionById(n, "key").sortWithinPartitions("key", "kind", "centres", "node")
-    return rows.mapInArrow(meet, "a long, b long")
+    return rows.repartitionById(n, "key").sortWithinPartitions("key", F.col("tree").asc_nulls_first(), "kind").mapInArrow(meet, "a long, b long")
 
 
-def _fits(a: str, b: str):
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def centre_trees(entries: DataFrame, centres: int) -> tuple[DataFrame, DataFrame]:
+    """Trees of the first so many nodes of a token in the order `nth`, and the token's other nodes that ask them.
 
+    A token's rows come in one run, of which a task holds the centres alone. A member's centres of all tokens make one
+    tree, which members of one group share.
+    """
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token, held, seen = None, [], set()
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for t, node, n, label in zip(*(batch.column(c).to_pylist() for c in ("token", "node", "n", "label"))):
+                if t != token:
+                    token, held = t, []
+                for other, m, label2 in held:
+                    pair = (node, other) if node > other else (other, node)
+                    if label != label2 and 100 * min(n, m) >= PERCENT * max(n, m) and pair not in seen:
+                        seen.add(pair)
+                        out.append(pair)
+                if len(held) < centres:
+                    held.append((node, n, label))
+                if len(seen) > 1 << 18:  # it only saves sending a pair again
+                    seen = set()
+            if out:
+                yield _pairs(np.array(out, np.int64))
+
+    rows = entries.repartition(partitions(entries), "token").sortWithinPartitions("token", "nth", "node")
+    pairs = rows.select("token", "node", "n", "label").mapInArrow(meet, "member long, centre long")
+    lists = pairs.groupBy("member").agg(F.sort_array(F.collect_set("centre")).alias("nodes"))
+    # Salted by member, so that a tree of very many members is built in several places.
+    lists = staged(lists.withColumn("tree", F.xxhash64("nodes", F.pmod(F.xxhash64("member"), F.lit(8)))), "centre_lists")
+    return lists.select("tree", "member"), lists.select("tree", "nodes").dropDuplicates(["tree"])
+
+
+def block_trees(entries: DataFrame, open_tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Trees of about BLOCK nodes of one family, and all nodes that share a token with one of them and have another label.
+
+    A family holds the nodes whose tokens lead to the same least label, so alike sets mostly share a tree, and a node
+    passes through a few trees of its family instead of meeting each node by itself.
+    """
+    family = entries.join(open_tokens.select("token", "lo"), "token").groupBy("node").agg(F.min("lo").alias("family"))
+    sizes = family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    nodes = family.join(sizes, "family").select("node", F.xxhash64("family", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("tree"))
+    nodes = staged(nodes, "blocks")
 
-def linked_components(entries: DataFrame, sets: DataFrame) -> DataFrame:
-    """node, component for all nodes that link with another."""
-    found, tested, label = None, None, None
-    total = entries.count()
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, set[int]] = {}
+        size = 0
+        for node, n, label, tree in _runs(batches):
+            members, trees = [], []
+            for i in range(1, len(node)):
+                near = (label[:i] != label[i]) & (100 * np.minimum(n[:i], n[i]) >= PERCENT * np.maximum(n[:i], n[i]))
+                known = seen.setdefault(int(node[i]), set())
+                new = [t for t in np.unique(tree[:i][near]).tolist() if t not in known]
+                if new:
+                    known.update(new)
+                    members.append(int(node[i]))
+                    trees.append(new)
+                    size += len(new)
+            if members:
+                yield pa.RecordBatch.from_arrays([pa.array(members, pa.int64()), pa.array(trees, pa.list_(pa.int64()))], names=["member", "trees"])
+            if size > 1 << 18:  # it only saves sending a tree again
+                seen, size = {}, 0
+
+    rows = entries.join(nodes, "node").repartition(partitions(entries), "token").sortWithinPartitions("token", "node")
+    asked = rows.select("token", "node", "n", "label", "tree").mapInArrow(meet, "member long, trees array<long>")
+    # A member's trees of all its tokens: a list per place that is indexed, so at most a fifth of the set's size.
+    asked = asked.groupBy("member").agg(F.array_distinct(F.flatten(F.collect_list("trees"))).alias("trees"))
+    return asked.select(F.explode("trees").alias("tree"), "member"), nodes.groupBy("tree").agg(F.collect_list("node").alias("nodes"))
+
+
+def _pairs(rows: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy())], names=["member", "centre"])
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """node, n, label and tree of each token's rows."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        columns = [batch.column(c).to_numpy() for c in ("token", "node", "n", "label", "tree")]
+        for part in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(columns[0])) + 1):
+            if len(part) and held and held[0][0][0] != columns[0][part[0]]:
+                yield tuple(np.concatenate([h[k] for h in held]) for k in (1, 2, 3, 4))
+                held = []
+            if len(part):
+                held.append(tuple(c[part] for c in columns))
+    if held:
+        yield tuple(np.concatenate([h[k] for h in held]) for k in (1, 2, 3, 4))
+
+
+def linked_components(entries: DataFrame, files: DataFrame) -> DataFrame:
+    """Step 4: node, component for all nodes that link with another."""
+    label, total, spark = None, entries.count(), entries.sparkSession
     for round_ in range(MAX_ROUNDS + 1):
-        rows = entries
+        rows, last, start = entries.withColumn("label", F.col("node")), False, mark()
         if label is not None:
-            rows = rows.join(label.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-            open_ = rows.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
-            rows = staged(rows.join(open_, "token", "left_semi"), "open_entries")
-            left = rows.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("p")).agg(F.sum("p")).first()[0]
+            rows = entries.join(label.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+            counts = rows.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg(F.min("label").alias("lo"), (F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("p"))
+            counts = staged(counts.filter("p > 0"), "open_tokens")
+            left = counts.agg(F.sum("p")).first()[0]
             if not left:
                 break
+            rows = staged(rows.join(counts.select("token"), "token", "left_semi"), "open_entries")
             last = left / 2 <= LEFT_PER_ENTRY * total or round_ == MAX_ROUNDS
-        else:
-            rows, last = rows.withColumn("label", F.col("node")), False
-        if last:
-            centres = rows
-        else:
-            order = Window.partitionBy("token").orderBy(F.xxhash64("node", F.lit(round_)), "node")
-            centres = rows.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= CENTRES * (1 << round_)).drop("_nth")
-        centres = centres.select("token", F.col("node").alias("centre"), F.col("n").alias("m"), F.col("label").alias("label2"))
-        pairs = rows.join(centres, "token").filter((F.col("label") != F.col("label2")) & _fits("n", "m"))
-        pairs = pairs.select(F.greatest("node", "centre").alias("member"), F.least("node", "centre").alias("centre")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["member", "centre"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        new = staged(links(pairs, sets, chunks=16 if last else 1), "links")
-        found = new if found is None else found.union(new)
-        tested = pairs if tested is None else tested.union(pairs)
-        label = staged(components(found), "labels")
+        asked, trees = block_trees(rows, counts) if last else centre_trees(rows.withColumn("nth", F.xxhash64("node", F.lit(round_))), CENTRES << round_)
+        new = staged(links(asked, trees, files), "links")
+        # The components so far stand for the links that made them.
+        label = staged(components(new if label is None else new.union(label)), "labels")
+        drop(spark, made_since(start)[:-1])  # all that led to the labels
         if last:
             break
     return label
 
 
-def join(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: its id, n_shingles and component_id (the least id that links lead to, itself included)."""
-    documents = staged(document_sets(docs, id_column, text_column), "document_sets")
-    classes = documents.filter("n > 0 and _id is not null").groupBy("key1", "key2", "n", "sketch").agg(F.min("_id").alias("first"))
-    classes = staged(classes.withColumnRenamed("key1", "node"), "classes")
-    shared = shared_in_sketch(docs, id_column, text_column).withColumnRenamed("key1", "node")
-    able = classes.join(shared, "node", "left").filter(F.coalesce("shared", F.lit(0)) >= F.col("sketch") - F.floor(F.col("n") * (100 - PERCENT) / 100))
-    able = staged(able.select("first", "node", "n"), "able")
-
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in text_slices(batches, "_text", SLICE_BYTES):
-            sets = shingle_sets(rows.column("_text"))
-            right = [i for i, (s, k) in enumerate(zip(sets, rows.column("node").to_pylist())) if len(s) and _set_keys(s)[0] == k]
-            some = rows.take(pa.array(right, pa.int64()))
-            yield pa.RecordBatch.from_arrays([some.column("node"), some.column("n"), pa.array([sets[i].astype("<u8").tobytes() for i in right], pa.binary())], names=["node", "n", "tokens"])
-
-    texts = _id_text(docs, id_column, text_column).join(able, F.col("_id") == F.col("first")).select("node", "n", "_text")
-    sets = staged(texts.mapInArrow(tokens, "node long, n long, tokens binary").dropDuplicates(["node"]), "sets")
-    entries = staged(index_entries(sets), "entries")
-    classes = classes.join(linked_components(entries, sets), "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _placed(docs: DataFrame, id_column: str, text_column: str, *, carry: bool) -> DataFrame:
+    """pack, place, _id, n, key1, key2 and component of each document; the packs hold carry_all(docs) if asked to."""
+    spark, buckets, start = docs.sparkSession, partitions(docs), mark()
+    packs = write_packs(docs, shared_dir(spark, "join_packs"), id_column, text_column, carry_all(docs, text_column) if carry else None)
+    needed = made_since(start)[:1] if carry else []  # the texts, which the caller picks from
+    documents = staged(document_sets(packs), "document_sets")
+    needed += made_since(start)[-1:]
+    shared = staged(shared_in_sketch(packs, buckets), "shared")
+    files = write_sets(packs, documents, shared, buckets, shared_dir(spark, "set_files"))
+    entries = staged(index_entries(files, buckets), "entries")
+    classes = documents.filter("n > 0 and _id is not null").groupBy("key1", "key2", "n").agg(F.min("_id").alias("first"))
+    label = staged(linked_components(entries, files), "components")
+    drop(spark, [f for f in made_since(start)[:-1] if f not in needed])
+    classes = classes.join(label.withColumnRenamed("node", "key1"), "key1", "left").withColumn("component", F.coalesce("component", "key1"))
     least = classes.groupBy("component").agg(F.min("first").alias("least"))
-    classes = classes.join(least, "component").select(F.col("node").alias("key1"), "key2", "n", "least")
+    classes = classes.join(least, "component").select("key1", "key2", "n", "least")
     found = documents.join(classes, ["key1", "key2", "n"], "left")
-    return found.select(F.col("_id").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("_id").isNotNull(), F.coalesce("least", "_id")).alias("component_id"))
+    return found.select("pack", "place", "_id", "n", "key1", "key2", F.when(F.col("_id").isNotNull(), F.coalesce("least", "_id")).alias("component"))
+
+
+def join(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per document: its id, n_shingles and component_id (the least id that links lead to, itself included)."""
+    found = _placed(docs, id_column, text_column, carry=False)
+    return found.select(F.col("_id").alias(id_column), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The row of docs with the least id of each component, all columns unchanged.
 
-    Of rows with that id and equal texts one stays; rows with that id and other texts all stay. A null id links with
-    nothing, so its rows stay.
+    Of rows with that id and equal sets one stays; rows with that id and other sets all stay. A null id links with
+    nothing, so its rows stay. The rows come from the packs; no text is shuffled.
     """
-    found = join(docs, id_column=id_column, text_column=text_column)
-    least = found.filter(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias("_least")).distinct()
-    rows = docs.join(least, docs[id_column] == F.col("_least"), "left_semi")
-    twins = Window.partitionBy(id_column, F.xxhash64(text_column), F.octet_length(text_column)).orderBy(F.xxhash64(*docs.columns))
-    return rows.withColumn("_nth", F.row_number().over(twins)).filter("_nth = 1").drop("_nth").unionByName(docs.filter(F.col(id_column).isNull()))
+    found = _placed(docs, id_column, text_column, carry=True)
+    first = found.filter(F.col("_id") == F.col("component")).groupBy("_id", "key1", "key2", "n").agg(F.min(F.struct("pack", "place")).alias("at")).select("at.pack", "at.place")
+    first = first.union(found.filter(F.col("_id").isNull()).select("pack", "place"))
+    return pick(first.groupBy("pack").agg(F.collect_list("place").alias("places")), docs, text_column)
