@@ -2,37 +2,64 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from maktaba.llm import knn_quality, ngram_join, packing, quality_rules, suffix_dedup
-from maktaba.llm.common import staged
+from maktaba.llm.common import drop, made_since, mark, staged
+
+#: What each stage left in the shared folder. A stage's result is written before the next stage starts, so the next stage
+#: deletes what its predecessor left.
+_left: dict[int, list[str]] = {}
+
+
+def _stage(place: int):
+    def wrap(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+        @functools.wraps(function)
+        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            drop(spark, _left.pop(place - 1, []))
+            start = mark()
+            found = function(spark, docs, sf_dir)
+            _left.setdefault(place, []).extend(made_since(start))
+            return found
+
+        return run_stage
+
+    return wrap
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+@_stage(0)
 def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality_rules.keep(docs, quality_rules.learn(docs, _labels(spark, sf_dir)))
 
 
+@_stage(1)
 def keep_by_neighbours(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
     return knn_quality.keep(docs, knn_quality.learn(docs, _labels(spark, sf_dir)))
 
 
+@_stage(2)
 def keep_one_of_alike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group that the n-gram Jaccard join finds."""
     return ngram_join.keep_one(docs)
 
 
+@_stage(3)
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the strings that a document with a smaller id holds."""
     return suffix_dedup.cut_repeats(docs)
 
 
+@_stage(4)
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 ids."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))

@@ -32,7 +32,30 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints")
     elif "://" not in base and base.startswith("/"):
         base = "file://" + base
-    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+#: Folders made by this process that nobody has dropped yet.
+_made: list[str] = []
+
+
+def drop(spark: SparkSession, folders: list[str]) -> None:
+    """Deletes shared folders whose data nothing will read any more."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        if folder in _made:
+            _made.remove(folder)
+
+
+def made_since(mark: int) -> list[str]:
+    """The folders made after mark() gave this mark, as far as nobody has dropped them."""
+    return _made[mark:]
+
+
+def mark() -> int:
+    return len(_made)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
