@@ -29,6 +29,8 @@ EXTRA = ("upper", "symbol", "repeat", "bang", "digit", "pipe")
 #: How much a shape term weighs beside the trigrams of a document, which have unit length together.
 EXTRA_WEIGHT = 1.5
 BLOCK = 512
+#: Rounds of subspace iteration.
+ROUNDS = 8
 
 
 @dataclass(frozen=True)
@@ -74,15 +76,18 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def fit(x: np.ndarray, y: np.ndarray, *, rank: int = 48) -> Model:
-    """The model of term weights x and labels y: eigenvectors of the terms' products are the right singular vectors."""
+    """The model of term weights x and labels y: right singular vectors by subspace iteration, which holds little beside x."""
     if not len(x):
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, rank), np.float32), np.zeros((0, rank), np.float32), np.zeros(0), 0.5)
     cells = TERMS - len(EXTRA)
     idf = np.ones(TERMS, np.float32)
     idf[:cells] = np.log((1 + len(x)) / (1 + (x[:, :cells] > 0).sum(0))) + 1
     weighed = _weigh(x, idf)
-    values, vectors = np.linalg.eigh(weighed.T.astype(np.float64) @ weighed)
-    project = np.ascontiguousarray(vectors[:, np.argsort(values)[::-1][:rank]]).astype(np.float32)
+    basis = np.random.default_rng(0).standard_normal((TERMS, rank + 16)).astype(np.float32)
+    for _ in range(ROUNDS):
+        basis = np.linalg.qr(weighed.T @ (weighed @ basis))[0]
+    turn = np.linalg.svd(weighed @ basis, full_matrices=False)[2]
+    project = np.ascontiguousarray((basis @ turn.T)[:, :rank])
     return Model(idf, project, _unit(weighed @ project), y.astype(np.float64), float(y.mean()))
 
 
