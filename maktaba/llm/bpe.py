@@ -15,9 +15,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_slices
+
 #: Texts above this many characters are encoded in pieces.
 PIECE_CHARS = 1 << 16
 
@@ -56,16 +59,27 @@ def encode_text(enc, text: str) -> np.ndarray:
     return np.concatenate([np.array(enc.encode_ordinary(p), dtype="<u4") for p in safe_pieces(text)])
 
 
-def encode(docs: DataFrame, rank_file: str, pattern: str, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: its id, n_tokens and ids (little-endian unsigned 32-bit, as binary)."""
+def _binary(parts: list[bytes]) -> pa.Array:
+    return pa.array(parts, pa.binary())
 
-    @F.pandas_udf("binary")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = encoding(rank_file, pattern)
-        for texts in batches:
-            yield pd.Series([encode_text(enc, t or "").tobytes() for t in texts], dtype=object)
 
-    return docs.select(F.col(id_column), ids(F.coalesce(F.col(text_column), F.lit(""))).alias("ids")).select(id_column, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+def encode(docs: DataFrame, rank_file: str, pattern: str, *, id_column: str = "doc_id", text_column: str = "text", decoded: bool = False) -> DataFrame:
+    """One row per document: its id, n_tokens and ids (little-endian unsigned 32-bit, as binary).
+
+    With decoded also the bytes that the ids decode to, made in the same pass.
+    """
+    kind = docs.schema[id_column].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoding(rank_file, pattern)
+        for rows in text_slices(batches, text_column):
+            ids = [encode_text(enc, t or "") for t in rows.column(text_column).to_pylist()]
+            arrays = [rows.column(id_column), pa.array([len(x) for x in ids], pa.int64()), _binary([x.tobytes() for x in ids])]
+            if decoded:
+                arrays.append(_binary([enc.decode_bytes(x.tolist()) for x in ids]))
+            yield pa.RecordBatch.from_arrays(arrays, names=[id_column, "n_tokens", "ids", *["decoded"] * decoded])
+
+    return docs.select(id_column, text_column).mapInArrow(run, f"{id_column} {kind}, n_tokens long, ids binary" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, rank_file: str, pattern: str, *, ids_column: str = "ids") -> DataFrame:

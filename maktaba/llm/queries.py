@@ -67,7 +67,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     file, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    found = bpe.decode(bpe.encode(_read(spark, sf_dir, "documents"), file, pattern), file, pattern)
+    found = bpe.encode(_read(spark, sf_dir, "documents"), file, pattern, decoded=True)
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

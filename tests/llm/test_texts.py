@@ -149,6 +149,7 @@ def test_bpe_round_trip(texts):
     found = bpe.decode(bpe.encode(texts(EDGES), FILE, PATTERN), FILE, PATTERN).collect()
     assert sorted((r.doc_id, bytes(r.decoded).decode()) for r in found if r.doc_id) == sorted((i, t or "") for i, t in EDGES if i)
     assert all(r.n_tokens * 4 == len(r.ids) for r in found)
+    assert rows_of(bpe.encode(texts(EDGES), FILE, PATTERN, decoded=True)) == sorted((tuple(r) for r in found), key=repr)
     assert bpe.encode(texts([]), FILE, PATTERN).count() == 0
 
 
