@@ -43,7 +43,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     """Of a control byte: the lengths of its four values, and the number of data bytes."""
     control = np.arange(256)
     lengths = np.stack([(control >> (2 * k)) & 3 for k in range(4)], 1) + 1
-    return lengths, lengths.sum(1)
+    return lengths.astype(np.uint8), lengths.sum(1)
 
 
 LENGTHS, TOTALS = _tables()
@@ -52,19 +52,22 @@ LENGTHS, TOTALS = _tables()
 def encode_values(values: np.ndarray) -> tuple[bytes, bytes]:
     """The control bytes and data bytes of unsigned 32-bit values."""
     values = np.asarray(values, np.uint32)
-    n = 1 + (values >= 1 << 8).astype(np.int64) + (values >= 1 << 16) + (values >= 1 << 24)
     codes = np.zeros((len(values) + 3) // 4 * 4, np.uint8)
-    codes[: len(values)] = n - 1
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    raw = values.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return control.tobytes(), raw[np.arange(4) < n[:, None]].tobytes()
+    width = 2 if not len(values) or values.max() < 1 << 16 else 4  # most vocabularies need two bytes at most
+    has = np.empty((len(values), width), bool)
+    has[:, 0] = True
+    for k in range(1, width):
+        has[:, k] = values >= 1 << 8 * k
+        codes[: len(values)] += has[:, k]
+    control = codes[0::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
+    raw = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width)
+    return control.tobytes(), raw[has].tobytes()
 
 
 def decode_values(control: bytes, data: bytes, count: int) -> np.ndarray:
     """The values again: the table gives each value's length, running sums their places, four masked reads their bytes."""
     lengths = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:count]
-    ends = np.cumsum(lengths)
-    starts = ends - lengths
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
     raw = np.frombuffer(data, np.uint8)
     out = np.zeros(count, np.uint32)
     for k in range(int(lengths.max(initial=0))):
