@@ -304,26 +304,35 @@ class PrefixTree:
 
     def __init__(self, sets: list[np.ndarray]):
         self.sizes = [len(s) for s in sets]
-        self.root = self._grow([(i, s) for i, s in enumerate(sets)], 0)
-
-    def _grow(self, members: list[tuple[int, np.ndarray]], depth: int) -> list:
-        """Nodes (run, sets that end here, children, least size, most size) for the sets, all alike up to depth."""
-        by_first: dict = {}
-        for i, s in members:
-            if len(s) > depth:
+        self.root = self._grow([(i, s) for i, s in enumerate(sets)])
+
+    def _grow(self, members: list[tuple[int, np.ndarray]]) -> list:
+        """Nodes (run, sets that end here, children, least size, most size, depth of the end) for the sets.
+
+        A long set makes a path of many nodes, so what is left to grow waits on a stack.
+        """
+        root: list = []
+        waiting = [([m for m in members if len(m[1])], 0, root)]
+        while waiting:
+            members, depth, out = waiting.pop()  # all alike up to depth
+            by_first: dict = {}
+            for i, s in members:
                 by_first.setdefault(int(s[depth]), []).append((i, s))
-        out = []
-        for group in by_first.values():
-            head = min((s for _, s in group), key=len)
-            end = min(len(head), depth + self.RUN)
-            for _, s in group:
-                same = s[depth:end] == head[depth:end]
-                if not same.all():
-                    end = depth + int(np.argmin(same))
-            done = [i for i, s in group if len(s) == end]
-            sizes = [len(s) for _, s in group]
-            out.append((head[depth:end], done, self._grow([m for m in group if len(m[1]) > end], end), min(sizes), max(sizes), end))
-        return out
+            for group in by_first.values():
+                head = min((s for _, s in group), key=len)
+                end = min(len(head), depth + self.RUN)
+                for _, s in group:
+                    same = s[depth:end] == head[depth:end]
+                    if not same.all():
+                        end = depth + int(np.argmin(same))
+                done = [i for i, s in group if len(s) == end]
+                sizes = [len(s) for _, s in group]
+                below: list = []
+                out.append((head[depth:end], done, below, min(sizes), max(sizes), end))
+                longer = [m for m in group if len(m[1]) > end]
+                if longer:
+                    waiting.append((longer, end, below))
+        return root
 
     def alike(self, x: np.ndarray) -> list[int]:
         """The sets that link with x."""

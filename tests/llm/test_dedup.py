@@ -126,6 +126,13 @@ def test_join_against_brute_force(texts, monkeypatch, seed, centres, left):
     assert sorted([tuple(r) for r in found.collect()], key=repr) == brute_join(rows)
 
 
+def test_join_of_very_long_texts(texts):
+    words = [f"w{i}" for i in range(110_000)]
+    rows = [(3, " ".join(words)), (5, " ".join([*words[:60_000], "x", *words[60_001:]])), (7, " ".join(reversed(words)))]
+    found = ngram_join.join(texts(rows))
+    assert sorted(tuple(r) for r in found.collect()) == [(3, 109_996, 3), (5, 109_996, 3), (7, 109_996, 7)]
+
+
 def test_join_of_nothing(texts):
     assert ngram_join.join(texts([])).count() == 0
     assert [tuple(r) for r in ngram_join.join(texts([(4, None)])).collect()] == [(4, 0, 4)]
