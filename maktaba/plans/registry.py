@@ -358,6 +358,13 @@ def word_changes(spark, sf_dir):
     return laws(spark, sf_dir).select("doc_id", correction.word_changes(F.substring(text, 1, 3000), F.substring(text, 1500, 3000)).alias("changed"))
 
 
+@query("word_changes_whole")
+def word_changes_whole(spark, sf_dir):
+    """word_changes over whole texts, which its SQL's list_contains is slow on; a brute-force test stands for SQL."""
+    text = F.col("text")
+    return laws(spark, sf_dir).select("doc_id", correction.word_changes(text, F.regexp_replace(text, "th", "ht")).alias("changed"))
+
+
 @query("reply_unfence", on_laws(f"SELECT doc_id, {_strip('text')} AS reply, CAST(floor((length({_strip('text')}) + 16) / 4) AS INT) AS tokens FROM laws"))
 def reply_unfence(spark, sf_dir):
     raw = F.concat(F.lit("```markdown\n"), T.strip(F.col("text")), F.lit("\n```\n\n"))

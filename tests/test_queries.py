@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from maktaba.plans import registry
+from maktaba.plans.laws import laws
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="needs the test tables")
@@ -43,6 +44,14 @@ def test_query_runs(spark, name):
     assert registry.QUERIES[name](spark, SF).count() > 0
 
 
+def test_word_changes_of_whole_texts(spark):
+    texts = {r.doc_id: r.text for r in laws(spark, SF).collect()}
+    got = {r.doc_id: r.changed for r in registry.QUERIES["word_changes_whole"](spark, SF).collect()}
+    words = lambda t: set(t.lower().split())
+    assert got == {i: len(words(t) ^ words(t.replace("th", "ht"))) for i, t in texts.items()}
+    assert any(n > len(words(texts[i][:4499]) ^ words(texts[i][:4499].replace("th", "ht"))) for i, n in got.items())
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
