@@ -498,6 +498,14 @@ def _page_documents(spark, sf_dir) -> DataFrame:
     return extraction.documents(extraction.page_table(rows))
 
 
+def _whole_page_documents(spark, sf_dir) -> DataFrame:
+    """Each text whole as a page. Every third law gets a short and a blank page per text besides, so that it counts as scanned."""
+    rows = _documents(spark, sf_dir).selectExpr("CAST(floor(doc_id / 10) AS BIGINT) AS doc_id", "CAST(doc_id % 10 + 1 AS INT) AS page_number", "text", "CASE WHEN doc_id % 4 > 0 THEN CAST(doc_id % 100 AS DOUBLE) / 100 END AS confidence")
+    more = rows.filter("doc_id % 3 = 0").select("doc_id", "page_number", F.explode(F.array(F.struct(F.lit(10).alias("after"), F.lit("page 7 du scan").alias("text")), F.struct(F.lit(20).alias("after"), F.lit(" ").alias("text")))).alias("x"))
+    more = more.selectExpr("doc_id", "page_number + x.after AS page_number", "x.text AS text", "CAST(NULL AS DOUBLE) AS confidence")
+    return extraction.documents(extraction.page_table(rows.union(more)))
+
+
 @query("page_concat", f"WITH {_PAGES} SELECT doc_id, {_clean("coalesce(t, '')")} AS full_text, total_pages FROM agg")
 def page_concat(spark, sf_dir):
     return _page_documents(spark, sf_dir).select("doc_id", "full_text", "total_pages")
@@ -515,12 +523,30 @@ def avg_confidence(spark, sf_dir):
 
 @query("ocr_choice", f"WITH {_PAGES}, nat AS (SELECT doc_id, {_clean("coalesce(t, '')")} AS n, short_pages / total_pages > 0.5 AS sc FROM agg) SELECT doc_id, sc AND doc_id % 2 = 0 AS used_ocr, CASE WHEN sc AND doc_id % 2 = 0 THEN n || ' OCR' ELSE n END AS full_text FROM nat")
 def ocr_choice(spark, sf_dir):
-    native = _page_documents(spark, sf_dir)
+    return _ocr_choice(_page_documents(spark, sf_dir))
+
+
+def _ocr_choice(native: DataFrame) -> DataFrame:
     ocr = native.select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.concat("full_text", F.lit(" OCR"))).otherwise(F.lit("")).alias("full_text"), F.lit(0.9).alias("avg_confidence"))
     rows = extraction.choose_text(native, ocr)
     return rows.select("doc_id", (F.col("extraction_method") == "ocr").alias("used_ocr"), "full_text")
 
 
+@query("page_concat_whole")
+def page_concat_whole(spark, sf_dir):
+    return _whole_page_documents(spark, sf_dir).select("doc_id", "full_text", "total_pages")
+
+
+@query("scanned_docs_whole")
+def scanned_docs_whole(spark, sf_dir):
+    return _whole_page_documents(spark, sf_dir).select("doc_id", "short_pages", "is_scanned", "has_french_content")
+
+
+@query("ocr_choice_whole")
+def ocr_choice_whole(spark, sf_dir):
+    return _ocr_choice(_whole_page_documents(spark, sf_dir))
+
+
 @query("ocr_confidence", "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 0.0 ELSE round((doc_id % 97 + 1 + 88) / 2 / 100, 3) END AS confidence FROM documents")
 def ocr_confidence(spark, sf_dir):
     confs = F.when(F.col("doc_id") % 5 == 0, F.array(F.lit("-1"), F.lit("0"), F.lit("x"))).otherwise(F.array(F.lit("-1"), (F.col("doc_id") % 97 + 1).cast("string"), F.lit("88"), F.lit("95.5"), F.lit("0")))
@@ -548,6 +574,6 @@ def correction_layer(spark, sf_dir):
 
 @query("envelopes")
 def envelopes(spark, sf_dir):
-    pages = _page_documents(spark, sf_dir).select("doc_id", "full_text", "total_pages", "is_scanned")
+    pages = _whole_page_documents(spark, sf_dir).select("doc_id", "full_text", "total_pages", "is_scanned")
     cleaned = cleaning.rule_clean(laws(spark, sf_dir)).drop("text")
     return sinks.envelope(2, pages, cleaned)

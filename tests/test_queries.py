@@ -1,5 +1,6 @@
 """Every query with SQL against DuckDB, on the smallest tables."""
 
+import json
 import math
 from pathlib import Path
 
@@ -52,6 +53,32 @@ def test_word_changes_of_whole_texts(spark):
     assert any(n > len(words(texts[i][:4499]) ^ words(texts[i][:4499].replace("th", "ht"))) for i, n in got.items())
 
 
+def whole_pages(spark):
+    """The words of the texts of each law in order, with those of its added pages."""
+    found = {}
+    for r in sorted(spark.read.parquet(f"{SF}/documents.parquet").collect(), key=lambda r: r.doc_id):
+        found.setdefault(r.doc_id // 10, []).extend((r.text or "").split())
+    return {i: w + (["page", "7", "du", "scan"] * 10 if i % 3 == 0 else []) for i, w in found.items()}
+
+
+def test_pages_of_whole_texts(spark):
+    want = whole_pages(spark)
+    concat = {r.doc_id: r for r in registry.QUERIES["page_concat_whole"](spark, SF).collect()}
+    assert {i: r.full_text.split() for i, r in concat.items()} == want
+    assert all(r.total_pages == (30 if i % 3 == 0 else 10) for i, r in concat.items())
+    scanned = {r.doc_id: r.is_scanned for r in registry.QUERIES["scanned_docs_whole"](spark, SF).collect()}
+    assert set(scanned.values()) == {True, False} and all(scanned[i] for i in want if i % 3 == 0)
+    choice = {r.doc_id: r for r in registry.QUERIES["ocr_choice_whole"](spark, SF).collect()}
+    assert {i: r.full_text.split() for i, r in choice.items()} == {i: w + (["OCR"] if choice[i].used_ocr else []) for i, w in want.items()}
+    assert all(r.used_ocr == (scanned[i] and i % 2 == 0) for i, r in choice.items())
+
+
+def test_envelopes_of_whole_texts(spark):
+    got = {r.doc_id: json.loads(r.envelope)["extraction"] for r in registry.QUERIES["envelopes"](spark, SF).collect()}
+    assert {i: x["full_text"].split() for i, x in got.items()} == whole_pages(spark)
+    assert {x["is_scanned"] for x in got.values()} == {True, False}
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
