@@ -121,6 +121,8 @@ def judge_urls(pages: DataFrame, rules: Iterable[Rule], *, id_column: str = "pag
 
         new = F.col("_new")
         labels = lambda c: F.size(F.split(c["host"], r"\."))
-        better = F.col("_rule").isNull() | F.col("_rule.host").isNull() | (labels(new) > labels(F.col("_rule"))) | ((labels(new) == labels(F.col("_rule"))) & (F.length(new["path"]) > F.length("_rule.path")))
+        # Two rules that match a page with as many labels and as long a path are the same but for the action.
+        longer = (F.length(new["path"]) > F.length("_rule.path")) | ((F.length(new["path"]) == F.length("_rule.path")) & (new["action"] == "block"))
+        better = F.col("_rule").isNull() | F.col("_rule.host").isNull() | (labels(new) > labels(F.col("_rule"))) | ((labels(new) == labels(F.col("_rule"))) & longer)
         out = out.withColumn("_new", match("host", "path")).withColumn("_rule", F.when(new["host"].isNotNull() & better, new).otherwise(F.col("_rule"))).drop("_new")
     return out.select(id_column, "host", "path", F.concat("_rule.host", "_rule.path").alias("rule"), F.coalesce(F.col("_rule.action"), F.lit(default)).alias("verdict"))

@@ -171,6 +171,14 @@ def test_trie_against_brute_force():
                 assert (want and (want.action, want.name)) == (got and (got.action, got.name))
 
 
+@pytest.mark.parametrize("limit", [url_rules.MAX_TRIE_CHARS, 1])
+@pytest.mark.parametrize("actions", [("allow", "block"), ("block", "allow")])
+def test_block_wins_among_equal_rules(spark, monkeypatch, limit, actions):
+    monkeypatch.setattr(url_rules, "MAX_TRIE_CHARS", limit)
+    pages = spark.createDataFrame([(1, "http://a.com/x/y")], "page_id long, url string")
+    assert url_rules.judge_urls(pages, [url_rules.Rule(a, "a.com", "/x") for a in actions]).first().verdict == "block"
+
+
 @pytest.mark.parametrize("limit", [url_rules.MAX_TRIE_CHARS, 1])
 def test_url_cases(spark, monkeypatch, limit):
     monkeypatch.setattr(url_rules, "MAX_TRIE_CHARS", limit)  # one trie, or one per rule
