@@ -392,15 +392,15 @@ _ROWS = (
 _ALL = f"{_ARTICLES}, {_HEADERS}, {_ROWS}"
 
 
-def _assembled(spark, sf_dir) -> DataFrame:
+def _assembled(spark, sf_dir, *, failures: bool = True) -> DataFrame:
     table = laws(spark, sf_dir)
     number = F.regexp_replace(T.strip(F.regexp_replace("article_marker", r"(?iu)\Aa?rticle|[.\-–:]\z", "")), f"{T.WHITE}+", " ")
     rows = structure.split_articles(table)
     fields = [f.split(" ") for f in assembly.ARTICLE_REPLY.split(", ")]
     made = {"article_number": number, "content_french": F.col("raw_text"), "content_arabic": F.when(F.col("ord") % 3 == 0, F.concat(F.lit("فصل "), F.col("ord").cast("string"))).otherwise(""), "chapter": F.col("chapter_detected"), "keywords": F.array(F.lit("loi"), F.col("ord").cast("string"))}
     reply = F.struct(*[made.get(n, F.lit(None)).cast(k).alias(n) for n, k in fields])
-    # Every fourth article stands for a failed extraction, which leaves a gap that the links skip.
-    replies = rows.select("doc_id", "ord", F.when(F.col("ord") % 4 != 2, reply).alias("reply"))
+    # With failures, every fourth article stands for a failed extraction, which leaves a gap that the links skip.
+    replies = rows.select("doc_id", "ord", (F.when(F.col("ord") % 4 != 2, reply) if failures else reply).alias("reply"))
     given = headers.regex_headers(table)
     none = lambda c: F.lit(None).cast("string").alias(c)
     names = ("institution", "institution_primary", "institution_secondary", "title_french", "title_arabic", "publication_date", "source_name", "source_number", "source_date")
@@ -475,7 +475,18 @@ def change_summary(spark, sf_dir):
 
 @query("article_report")
 def article_report(spark, sf_dir):
-    return sinks.report(_assembled(spark, sf_dir))
+    return sinks.report(_assembled(spark, sf_dir, failures=False))
+
+
+@query("assemble_whole")
+def assemble_whole(spark, sf_dir):
+    """All articles, with all columns of the article table."""
+    return _assembled(spark, sf_dir, failures=False)
+
+
+@query("article_log_whole")
+def article_log_whole(spark, sf_dir):
+    return sinks.log_line(_assembled(spark, sf_dir, failures=False))
 
 
 @query("word_diff")

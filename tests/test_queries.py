@@ -1,5 +1,6 @@
 """Every query with SQL against DuckDB, on the smallest tables."""
 
+import hashlib
 import json
 import math
 from pathlib import Path
@@ -79,6 +80,19 @@ def test_envelopes_of_whole_texts(spark):
     assert {x["is_scanned"] for x in got.values()} == {True, False}
 
 
+def test_all_articles_are_assembled(spark):
+    places = sorted((r.doc_id, r.ord) for r in registry.QUERIES["article_split"](spark, SF).collect())
+    rows = {(r.doc_id, r.ord): r for r in registry.QUERIES["assemble_whole"](spark, SF).collect()}
+    assert sorted(rows) == places
+    for one, two in zip(places, places[1:]):
+        if one[0] == two[0]:
+            assert rows[one].following_article_id == rows[two].article_id and rows[two].preceding_article_id == rows[one].article_id
+    for r in rows.values():
+        assert r.content_hash_sha256 == hashlib.sha256((r.content_french + r.content_arabic).encode()).hexdigest()
+    for name in ("article_report", "article_log_whole"):
+        assert sorted((r.doc_id, r.ord) for r in registry.QUERIES[name](spark, SF).collect()) == places
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
