@@ -1,4 +1,4 @@
-"""Suffix-array dedup of byte strings by prefix-free parsing.
+"""Dedup of byte strings by prefix-free parsing, with phrase hashes in place of the parse's suffix array and corpus order.
 
 A byte goes if it lies in a string of LENGTH bytes that also starts in a document with a smaller id. Strings never cross
 documents and are judged on the input. The steps:
