@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pandas as pd
@@ -23,7 +25,8 @@ _POWERS: dict[str, np.ndarray] = {}
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below spark.checkpoint.dir, which the driver and all executors share.
 
-    Where the setting is missing, as in tests, a local session gets a temporary folder; a cluster must set it.
+    Where the setting is missing, as in tests, a local session gets a temporary folder; a cluster must set it. The folder
+    goes when the application ends, unless drop() deletes it before.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -32,30 +35,37 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints")
     elif "://" not in base and base.startswith("/"):
         base = "file://" + base
-    _made.append(f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}")
-    return _made[-1]
+    folder = f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    for made in _collectors.get():
+        made.append(folder)
+    return folder
 
 
-#: Folders made by this process that nobody has dropped yet.
-_made: list[str] = []
+#: Lists that want to hear of new folders, in this thread of the driver: queries in other threads have lists of their own.
+_collectors: ContextVar[tuple[list[str], ...]] = ContextVar("collectors", default=())
+
+
+@contextmanager
+def collecting() -> Iterator[list[str]]:
+    """The shared folders that this thread makes in the block and nobody has dropped."""
+    made: list[str] = []
+    before = _collectors.set((*_collectors.get(), made))
+    try:
+        yield made
+    finally:
+        _collectors.reset(before)
 
 
 def drop(spark: SparkSession, folders: list[str]) -> None:
     """Deletes shared folders whose data nothing will read any more."""
-    for folder in folders:
+    for folder in list(folders):
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        if folder in _made:
-            _made.remove(folder)
-
-
-def made_since(mark: int) -> list[str]:
-    """The folders made after mark() gave this mark, as far as nobody has dropped them."""
-    return _made[mark:]
-
-
-def mark() -> int:
-    return len(_made)
+        for made in _collectors.get():
+            if folder in made:
+                made.remove(folder)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

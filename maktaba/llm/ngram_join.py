@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, RangeHash, drop, filesystem, flat_bytes, made_since, mark, mix, partitions, shared_dir, staged, text_slices
+from .common import BASE, RangeHash, collecting, drop, filesystem, flat_bytes, mix, partitions, shared_dir, staged, text_slices
 from .components import components
 from .packs import by_bucket, carry_all, open_pack, pick, to_buckets, write_packs
 
@@ -44,13 +44,17 @@ PERCENT = 80
 #: Share of the hash range whose shingles are counted first.
 SKETCH = 0.35
 TOP = int(SKETCH * 2**64)
-#: Members of a group that all others meet first; each further round doubles them.
+#: Members of a group that all others meet first, at most; each further round doubles them.
 CENTRES = 16
 #: Pairs left per index entry up to which all of them are compared at once; above it another round of centres comes first.
 LEFT_PER_ENTRY = 100
 MAX_ROUNDS = 6
 #: Nodes in a tree of the last round, about.
 BLOCK = 64
+#: Members that ask the trees of one home in one place, about.
+ASKERS = 2048
+#: Bytes of sets that members of one key have, about, as a task holds the sets of a key.
+KEY_BYTES = 32 << 20
 SLICE_BYTES = 6 << 20
 _WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -376,21 +380,29 @@ def _fetch(needed: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def links(asked: DataFrame, trees: DataFrame, files: DataFrame) -> DataFrame:
-    """a, b: links that connect all that the members' links with their trees connect. asked: tree, member. trees: tree, nodes.
+    """a, b: links that connect all that the members' links with their trees connect.
 
-    A tree's key tells the task that builds it; each member passes through the tree. A task gives a link only if its
-    earlier ones don't connect the two sets yet, and a member that is connected with a whole tree doesn't pass through it.
+    asked: tree, home, member, n, label (of distinct tree and member). trees: tree, nodes, labels. What asks trees of one
+    home meets in one place, so that sets come there once; a home that very many ask is cut by member into places of
+    about ASKERS, and places are dealt to as many keys as keep the sets of a key within KEY_BYTES. A place gives a link
+    only if its earlier ones don't connect the two sets yet; a member passes through a tree only if it holds a set that
+    the member is neither connected with nor was compared with.
     """
-    n = partitions(files)
-    asked = staged(asked.withColumn("key", F.pmod(F.xxhash64("tree"), F.lit(n)).cast("int")), "asked")
-    trees = staged(trees.withColumn("key", F.pmod(F.xxhash64("tree"), F.lit(n)).cast("int")), "trees")
+    n, spark = partitions(files), asked.sparkSession
+    asked = staged(asked, "asked")
+    keys = n * max(1, -(-8 * (asked.agg(F.sum("n")).first()[0] or 0) // (n * KEY_BYTES)))
+    cuts = asked.groupBy("home").agg(F.ceil(F.count("*") / ASKERS).alias("cuts"))
+    place = F.pmod(F.xxhash64("home", F.pmod(F.xxhash64("member"), F.col("cuts"))), F.lit(keys)).cast("int")
+    asked = staged(asked.join(cuts, "home").select("tree", "member", "label", place.alias("key")), "asked")
+    trees = staged(asked.select("key", "tree").distinct().join(trees, "tree"), "trees")
     needed = asked.select("key", F.col("member").alias("node")).union(trees.select("key", F.explode("nodes"))).distinct()
     null = lambda kind: F.lit(None).cast(kind)
-    rows = _fetch(needed, files).select("key", null("long").alias("tree"), F.lit(0).alias("kind"), "node", "tokens", null("array<long>").alias("nodes"))
-    rows = rows.union(trees.select("key", "tree", F.lit(1), null("long"), null("binary"), "nodes")).union(asked.select("key", "tree", F.lit(2), "member", null("binary"), null("array<long>")))
+    rows = _fetch(needed, files).select("key", null("long").alias("tree"), F.lit(0).alias("kind"), "node", null("long").alias("label"), "tokens", null("array<long>").alias("nodes"), null("array<long>").alias("labels"))
+    rows = rows.union(trees.select("key", "tree", F.lit(1), null("long"), null("long"), null("binary"), "nodes", "labels"))
+    rows = rows.union(asked.select("key", "tree", F.lit(2), "member", "label", null("binary"), null("array<long>"), null("array<long>")))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, nodes, tree, top = None, {}, [], None, {}
+        key, held, nodes, labels, tree, top, met = None, {}, [], [], None, {}, {}
 
         def find(x: int) -> int:
             while (up := top.setdefault(x, x)) != x:
@@ -399,134 +411,92 @@ def links(asked: DataFrame, trees: DataFrame, files: DataFrame) -> DataFrame:
 
         for some in text_slices(batches, "tokens", SLICE_BYTES):
             a, b = [], []
-            for k, kind, node, tokens, members in zip(*(some.column(c).to_pylist() for c in ("key", "kind", "node", "tokens", "nodes"))):
+            for k, kind, node, label, tokens, members, names in zip(*(some.column(c).to_pylist() for c in ("key", "kind", "node", "label", "tokens", "nodes", "labels"))):
                 if k != key:
-                    key, held, top = k, {}, {}
+                    key, held, top, met = k, {}, {}, {}
                 if kind == 0:
                     held[node] = np.frombuffer(tokens, "<u8")
                 elif kind == 1:
-                    nodes, tree = members, PrefixTree([held[x] for x in members])
-                elif any(find(x) != find(node) for x in nodes):
+                    nodes, labels, tree = members, names, None
+                else:
+                    seen = met.setdefault(node, set())
+                    if all(x in seen or find(y) == find(label) for x, y in zip(nodes, labels)):
+                        continue
+                    tree = tree or PrefixTree([held[x] for x in nodes])
+                    seen.update(nodes)
                     for i in tree.alike(held[node]):
-                        if find(nodes[i]) != find(node):
-                            top[find(node)] = find(nodes[i])
-                            a.append(node)
-                            b.append(nodes[i])
+                        if find(labels[i]) != find(label):
+                            top[find(label)] = find(labels[i])
+                            a.append(label)
+                            b.append(labels[i])
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.repartitionById(n, "key").sortWithinPartitions("key", F.col("tree").asc_nulls_first(), "kind").mapInArrow(meet, "a long, b long")
+    rows = rows.repartitionById(n, F.pmod("key", F.lit(n))).sortWithinPartitions("key", F.col("tree").asc_nulls_first(), "kind")
+    return rows.mapInArrow(meet, "a long, b long")
 
 
-def centre_trees(entries: DataFrame, centres: int) -> tuple[DataFrame, DataFrame]:
-    """Trees of the first so many nodes of a token in the order `nth`, and the token's other nodes that ask them.
+def _fits(n, least, most):
+    """Whether a set of n members can link with some set of least to most members, by their sizes."""
+    return (100 * F.col(most) >= PERCENT * F.col(n)) & (PERCENT * F.col(least) <= 100 * F.col(n))
 
-    A token's rows come in one run, of which a task holds the centres alone. A member's centres of all tokens make one
-    tree, which members of one group share.
-    """
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, held, seen = None, [], set()
-        for batch in batches:
-            out: list[tuple[int, int]] = []
-            for t, node, n, label in zip(*(batch.column(c).to_pylist() for c in ("token", "node", "n", "label"))):
-                if t != token:
-                    token, held = t, []
-                for other, m, label2 in held:
-                    pair = (node, other) if node > other else (other, node)
-                    if label != label2 and 100 * min(n, m) >= PERCENT * max(n, m) and pair not in seen:
-                        seen.add(pair)
-                        out.append(pair)
-                if len(held) < centres:
-                    held.append((node, n, label))
-                if len(seen) > 1 << 18:  # it only saves sending a pair again
-                    seen = set()
-            if out:
-                yield _pairs(np.array(out, np.int64))
-
-    rows = entries.repartition(partitions(entries), "token").sortWithinPartitions("token", "nth", "node")
-    pairs = rows.select("token", "node", "n", "label").mapInArrow(meet, "member long, centre long")
-    lists = pairs.groupBy("member").agg(F.sort_array(F.collect_set("centre")).alias("nodes"))
-    # Salted by member, so that a tree of very many members is built in several places.
-    lists = staged(lists.withColumn("tree", F.xxhash64("nodes", F.pmod(F.xxhash64("member"), F.lit(8)))), "centre_lists")
-    return lists.select("tree", "member"), lists.select("tree", "nodes").dropDuplicates(["tree"])
+def centre_trees(entries: DataFrame, round_: int) -> tuple[DataFrame, DataFrame]:
+    """Step 4, its first rounds: asked and trees for links().
+
+    The nodes of a token fall into slots by hash, and the first of each slot, in an order of this round that all tokens
+    share, is a centre. The centres of a token make one tree, and each node of the token asks that tree: a row per index
+    entry at most. No task holds a token's nodes: the slots' firsts are partial aggregates.
+    """
+    slot = F.pmod(F.xxhash64("node", F.lit(-round_ - 1)), F.lit(CENTRES << round_))
+    firsts = entries.groupBy("token", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("node", F.lit(round_)).alias("nth"), "node", "n", "label")).alias("c"))
+    centres = firsts.groupBy("token").agg(F.sort_array(F.collect_list("c")).alias("c")).filter((F.size("c") > 1))  # one per slot at most
+    centres = centres.select("token", F.col("c.node").alias("nodes"), F.col("c.n").alias("sizes"), F.col("c.label").alias("labels")).withColumn("tree", F.xxhash64("nodes"))
+    centres = staged(centres, "centres")
+    other = lambda l, m: (l != F.col("label")) & (100 * F.least(m, "n") >= PERCENT * F.greatest(m, "n"))
+    rows = entries.join(centres, "token").filter(F.exists(F.arrays_zip("labels", "sizes"), lambda x: other(x["labels"], x["sizes"])))
+    asked = rows.select("tree", F.col("nodes")[0].alias("home"), F.col("node").alias("member"), "n", "label").distinct()
+    return asked, centres.select("tree", "nodes", "labels").dropDuplicates(["tree"])
 
 
 def block_trees(entries: DataFrame, open_tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Trees of about BLOCK nodes of one family, and all nodes that share a token with one of them and have another label.
+    """Step 4, its last round: trees of about BLOCK nodes of one family, which all nodes ask that may link with one of them.
 
-    A family holds the nodes whose tokens lead to the same least label, so alike sets mostly share a tree, and a node
-    passes through a few trees of its family instead of meeting each node by itself.
+    A family holds the nodes whose tokens lead to the same least label, so alike sets mostly share a tree. A node asks its
+    own tree and those after it that share a token with it, hold another label there, and fit its size. The rows of a
+    token meet its trees in a join, whose large partitions Spark can cut.
     """
     family = entries.join(open_tokens.select("token", "lo"), "token").groupBy("node").agg(F.min("lo").alias("family"))
     sizes = family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     nodes = family.join(sizes, "family").select("node", F.xxhash64("family", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("tree"))
-    nodes = staged(nodes, "blocks")
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, set[int]] = {}
-        size = 0
-        for node, n, label, tree in _runs(batches):
-            members, trees = [], []
-            for i in range(1, len(node)):
-                near = (label[:i] != label[i]) & (100 * np.minimum(n[:i], n[i]) >= PERCENT * np.maximum(n[:i], n[i]))
-                known = seen.setdefault(int(node[i]), set())
-                new = [t for t in np.unique(tree[:i][near]).tolist() if t not in known]
-                if new:
-                    known.update(new)
-                    members.append(int(node[i]))
-                    trees.append(new)
-                    size += len(new)
-            if members:
-                yield pa.RecordBatch.from_arrays([pa.array(members, pa.int64()), pa.array(trees, pa.list_(pa.int64()))], names=["member", "trees"])
-            if size > 1 << 18:  # it only saves sending a tree again
-                seen, size = {}, 0
-
-    rows = entries.join(nodes, "node").repartition(partitions(entries), "token").sortWithinPartitions("token", "node")
-    asked = rows.select("token", "node", "n", "label", "tree").mapInArrow(meet, "member long, trees array<long>")
-    # A member's trees of all its tokens: a list per place that is indexed, so at most a fifth of the set's size.
-    asked = asked.groupBy("member").agg(F.array_distinct(F.flatten(F.collect_list("trees"))).alias("trees"))
-    return asked.select(F.explode("trees").alias("tree"), "member"), nodes.groupBy("tree").agg(F.collect_list("node").alias("nodes"))
-
-
-def _pairs(rows: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy())], names=["member", "centre"])
-
-
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """node, n, label and tree of each token's rows."""
-    held: list[tuple[np.ndarray, ...]] = []
-    for batch in batches:
-        columns = [batch.column(c).to_numpy() for c in ("token", "node", "n", "label", "tree")]
-        for part in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(columns[0])) + 1):
-            if len(part) and held and held[0][0][0] != columns[0][part[0]]:
-                yield tuple(np.concatenate([h[k] for h in held]) for k in (1, 2, 3, 4))
-                held = []
-            if len(part):
-                held.append(tuple(c[part] for c in columns))
-    if held:
-        yield tuple(np.concatenate([h[k] for h in held]) for k in (1, 2, 3, 4))
+    rows = staged(entries.join(nodes, "node"), "blocks")
+    there = rows.groupBy("token", F.col("tree").alias("other")).agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.min("n").alias("n0"), F.max("n").alias("n1"))
+    met = rows.join(there, (rows["token"] == there["token"]) & (F.col("tree") <= F.col("other")) & ((F.col("l0") != F.col("label")) | (F.col("l1") != F.col("label"))) & _fits("n", "n0", "n1"))
+    asked = met.select(F.col("other").alias("tree"), F.col("other").alias("home"), F.col("node").alias("member"), "n", "label").distinct()
+    members = rows.select("tree", "node", "label").distinct().groupBy("tree").agg(F.collect_list(F.struct("node", "label")).alias("c"))
+    return asked, members.select("tree", F.col("c.node").alias("nodes"), F.col("c.label").alias("labels"))
 
 
 def linked_components(entries: DataFrame, files: DataFrame) -> DataFrame:
     """Step 4: node, component for all nodes that link with another."""
     label, total, spark = None, entries.count(), entries.sparkSession
     for round_ in range(MAX_ROUNDS + 1):
-        rows, last, start = entries.withColumn("label", F.col("node")), False, mark()
-        if label is not None:
-            rows = entries.join(label.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-            counts = rows.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg(F.min("label").alias("lo"), (F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("p"))
-            counts = staged(counts.filter("p > 0"), "open_tokens")
-            left = counts.agg(F.sum("p")).first()[0]
-            if not left:
-                break
-            rows = staged(rows.join(counts.select("token"), "token", "left_semi"), "open_entries")
-            last = left / 2 <= LEFT_PER_ENTRY * total or round_ == MAX_ROUNDS
-        asked, trees = block_trees(rows, counts) if last else centre_trees(rows.withColumn("nth", F.xxhash64("node", F.lit(round_))), CENTRES << round_)
-        new = staged(links(asked, trees, files), "links")
-        # The components so far stand for the links that made them.
-        label = staged(components(new if label is None else new.union(label)), "labels")
-        drop(spark, made_since(start)[:-1])  # all that led to the labels
+        with collecting() as made:
+            rows, last = entries.withColumn("label", F.col("node")), False
+            if label is not None:
+                rows = entries.join(label.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+                counts = rows.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg(F.min("label").alias("lo"), (F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("p"))
+                counts = staged(counts.filter("p > 0"), "open_tokens")
+                left = counts.agg(F.sum("p")).first()[0]
+                if not left:
+                    break
+                rows = staged(rows.join(counts.select("token"), "token", "left_semi"), "open_entries")
+                last = left / 2 <= LEFT_PER_ENTRY * total or round_ == MAX_ROUNDS
+            asked, trees = block_trees(rows, counts) if last else centre_trees(rows, round_)
+            new = staged(links(asked, trees, files), "links")
+            # The components so far stand for the links that made them.
+            label = staged(components(new if label is None else new.union(label)), "labels")
+            drop(spark, made[:-1])  # all that led to the labels
         if last:
             break
     return label
@@ -534,17 +504,18 @@ def linked_components(entries: DataFrame, files: DataFrame) -> DataFrame:
 
 def _placed(docs: DataFrame, id_column: str, text_column: str, *, carry: bool) -> DataFrame:
     """pack, place, _id, n, key1, key2 and component of each document; the packs hold carry_all(docs) if asked to."""
-    spark, buckets, start = docs.sparkSession, partitions(docs), mark()
-    packs = write_packs(docs, shared_dir(spark, "join_packs"), id_column, text_column, carry_all(docs, text_column) if carry else None)
-    needed = made_since(start)[:1] if carry else []  # the texts, which the caller picks from
-    documents = staged(document_sets(packs), "document_sets")
-    needed += made_since(start)[-1:]
-    shared = staged(shared_in_sketch(packs, buckets), "shared")
-    files = write_sets(packs, documents, shared, buckets, shared_dir(spark, "set_files"))
-    entries = staged(index_entries(files, buckets), "entries")
-    classes = documents.filter("n > 0 and _id is not null").groupBy("key1", "key2", "n").agg(F.min("_id").alias("first"))
-    label = staged(linked_components(entries, files), "components")
-    drop(spark, [f for f in made_since(start)[:-1] if f not in needed])
+    spark, buckets = docs.sparkSession, partitions(docs)
+    with collecting() as made:
+        packs = write_packs(docs, shared_dir(spark, "join_packs"), id_column, text_column, carry_all(docs, text_column) if carry else None)
+        needed = made[:1] if carry else []  # the texts, which the caller picks from
+        documents = staged(document_sets(packs), "document_sets")
+        needed += made[-1:]
+        shared = staged(shared_in_sketch(packs, buckets), "shared")
+        files = write_sets(packs, documents, shared, buckets, shared_dir(spark, "set_files"))
+        entries = staged(index_entries(files, buckets), "entries")
+        classes = documents.filter("n > 0 and _id is not null").groupBy("key1", "key2", "n").agg(F.min("_id").alias("first"))
+        label = staged(linked_components(entries, files), "components")
+        drop(spark, [f for f in made[:-1] if f not in needed])
     classes = classes.join(label.withColumnRenamed("node", "key1"), "key1", "left").withColumn("component", F.coalesce("component", "key1"))
     least = classes.groupBy("component").agg(F.min("first").alias("least"))
     classes = classes.join(least, "component").select("key1", "key2", "n", "least")
