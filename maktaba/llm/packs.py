@@ -7,7 +7,6 @@ successful attempts lists are read.
 
 from __future__ import annotations
 
-import pickle
 import uuid
 from collections.abc import Iterator
 
@@ -26,8 +25,12 @@ NO_ID = (1 << 63) - 1
 
 
 def write_packs(docs: DataFrame, folder: str, id_column: str, text_column: str, carried: Column | None = None, *, size: int = PACK_BYTES) -> DataFrame:
-    """Writes the texts, and what is to come out again with them, as packs; pack and n_docs of each."""
-    rows = docs.select(F.col(id_column).cast("long").alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"), (F.struct(F.lit(0).alias("none")) if carried is None else carried).alias("_carried"))
+    """Writes the texts (or bytes), and what is to come out again with them, as packs; pack and n_docs of each.
+
+    A null text is written as an empty one; a null id keeps its being null; rows with equal ids stay apart; an empty table
+    writes no pack; a text longer than `size` has a pack of its own.
+    """
+    rows = docs.select(F.col(id_column).cast("long").alias("_id"), F.coalesce(F.col(text_column).cast("binary"), F.lit(b"")).alias("_text"), (F.struct(F.lit(0).alias("none")) if carried is None else carried).alias("_carried"))
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = filesystem(folder)
@@ -36,14 +39,11 @@ def write_packs(docs: DataFrame, folder: str, id_column: str, text_column: str,
         for some in text_slices(batches, "_text", size):
             data, offsets = flat_bytes(some.column("_text"))
             ids = some.column("_id")
-            head = pickle.dumps((np.array([NO_ID if x is None else x for x in ids.to_pylist()], np.int64), ids.is_valid().to_numpy(zero_copy_only=False), np.asarray(offsets)))
-            more = pa.RecordBatch.from_arrays([some.column("_carried")], names=["carried"])
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, more.schema) as stream:
-                stream.write_batch(more)
+            head = _written(pa.RecordBatch.from_arrays([ids, pa.array(np.diff(offsets))], names=["id", "length"]))
+            more = _written(pa.RecordBatch.from_arrays([some.column("_carried")], names=["carried"]))
             name = uuid.uuid4().hex
             with fs.open_output_stream(f"{root}/{name}") as f:
-                for part in (head, press.compress(data.tobytes()), press.compress(sink.getvalue().to_pybytes())):
+                for part in (press.compress(head), press.compress(data.tobytes()), press.compress(more)):
                     f.write(len(part).to_bytes(8, "little"))
                     f.write(part)
             yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([len(ids)])], names=["pack", "n_docs"])
@@ -51,6 +51,18 @@ def write_packs(docs: DataFrame, folder: str, id_column: str, text_column: str,
     return staged(rows.mapInArrow(save, "pack string, n_docs long"), "packs")
 
 
+def _written(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _reread(data: bytes) -> pa.RecordBatch:
+    with pa.ipc.open_stream(data) as stream:
+        return stream.read_next_batch()
+
+
 def open_pack(pack: str, part: int = 1):
     """Order keys, which ids are known, offsets and bytes of a pack that write_packs wrote; with part 2 what it carries."""
     fs, path = filesystem(pack)
@@ -58,9 +70,12 @@ def open_pack(pack: str, part: int = 1):
     with fs.open_input_stream(path) as f:
         parts = [f.read(int.from_bytes(f.read(8), "little")) for _ in range(part + 1)]
     if part == 2:
-        with pa.ipc.open_stream(unpack(parts[2])) as stream:
-            return stream.read_next_batch().column("carried")
-    return *pickle.loads(parts[0]), np.frombuffer(unpack(parts[1]), np.uint8)
+        return _reread(unpack(parts[2])).column("carried")
+    head = _reread(unpack(parts[0]))
+    ids = head.column("id")
+    known = ids.is_valid().to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(head.column("length").to_numpy())])
+    return ids.fill_null(NO_ID).to_numpy(), known, offsets, np.frombuffer(unpack(parts[1]), np.uint8)
 
 
 def carry_all(docs: DataFrame, text_column: str) -> Column:

@@ -10,9 +10,13 @@ Reading: archives are read a record at a time, the payload digest of each respon
 header. Assembly joins request, response or revisit, and metadata through the concurrent-to identifiers, and gives one
 nested row per capture. Payloads stay in the archives by default: a row holds the file, offset and length of each record.
 
-Cases: a null payload is empty; rows with the same id have a capture each, under the same identifiers, so that each lists
-the requests of all of them; a null id is smaller than all others; a null url is an empty target; an empty table writes no archive; requests or metadata
-without a response give captures whose response is null; other columns are not read.
+Pages are written once as packs in the shared folder; what is shuffled to find revisits are digests and ids, and the
+archives are written from the packs.
+
+Cases: a null payload is empty; rows with the same id, null included, have a capture and identifiers each (the first one's
+hold the id alone, the others' also their place); a null id is smaller than all others; a null url is an empty target; an
+empty table writes no archive; requests or metadata without a response give captures whose response is null; several
+responses under one identifier, in archives of others, give a capture each; other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,13 +27,14 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import filesystem, partitions, shared_dir, staged, text_slices
+from .common import collecting, drop, filesystem, partitions, shared_dir, staged
+from .packs import NO_ID, open_pack, write_packs
 
-SALTS = 16
 FILE_BYTES = 64 << 20
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = "record_id string, record_type string, target string, concurrent_to string, refers_to string, date string, content_type string, payload_digest string, payload_bytes long, digest_ok boolean, fields map<string,string>, path string, offset long, length long, payload binary"
@@ -40,9 +45,9 @@ def base32_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode("ascii")
 
 
-def record_uri(page_id: int | None, kind: str) -> str:
-    """The identifier of a page's record, which needs no lookup to refer to."""
-    return f"<urn:capture:{'none' if page_id is None else page_id}:{kind}>"
+def record_uri(page_id: int | None, kind: str, place: str = "") -> str:
+    """The identifier of a page's record, which needs no lookup to refer to. place: of rows that repeat an id."""
+    return f"<urn:capture:{'none' if page_id is None else page_id}:{place and place + ':'}{kind}>"
 
 
 def _record(kind: str, uri: str, headers: list[tuple[str, str]], block: bytes, date: str) -> bytes:
@@ -52,7 +57,7 @@ def _record(kind: str, uri: str, headers: list[tuple[str, str]], block: bytes, d
     return press.compress(b"WARC/1.1\r\n" + clean.encode() + b"\r\n") + press.compress(block) + press.compress(b"\r\n\r\n") + press.flush()
 
 
-def _capture(page_id: int | None, url: str, payload: bytes, refers_to: int | None, is_revisit: bool, date: str) -> list[bytes]:
+def _capture(page_id: int | None, place: str, url: str, payload: bytes, refers_to: int | None, is_revisit: bool, date: str) -> list[bytes]:
     """The records of one page: response or revisit, request, metadata."""
     rest = url.split("://", 1)[1] if "://" in url else ""
     host = rest
@@ -60,7 +65,7 @@ def _capture(page_id: int | None, url: str, payload: bytes, refers_to: int | Non
         host = host.split(c, 1)[0]
     target, digest = ("WARC-Target-URI", url), ("WARC-Payload-Digest", f"sha1:{base32_digest(payload)}")
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    uri = record_uri(page_id, "revisit" if is_revisit else "response")
+    uri = record_uri(page_id, "revisit" if is_revisit else "response", place)
     if is_revisit:
         first = _record("revisit", uri, [target, digest, ("WARC-Refers-To", record_uri(refers_to, "response")), ("WARC-Profile", REVISIT_PROFILE), ("Content-Type", "application/http; msgtype=response")], http, date)
     else:
@@ -70,26 +75,42 @@ def _capture(page_id: int | None, url: str, payload: bytes, refers_to: int | Non
     facts = ("" if page_id is None else f"page_id: {page_id}\r\n").encode()
     return [
         first,
-        _record("request", record_uri(page_id, "request"), [target, ("WARC-Concurrent-To", uri), ("Content-Type", "application/http; msgtype=request")], ask, date),
-        _record("metadata", record_uri(page_id, "metadata"), [target, ("WARC-Concurrent-To", uri), ("Content-Type", "application/warc-fields")], facts, date),
+        _record("request", record_uri(page_id, "request", place), [target, ("WARC-Concurrent-To", uri), ("Content-Type", "application/http; msgtype=request")], ask, date),
+        _record("metadata", record_uri(page_id, "metadata", place), [target, ("WARC-Concurrent-To", uri), ("Content-Type", "application/warc-fields")], facts, date),
     ]
 
 
-def mark_revisits(pages: DataFrame, *, least_bytes: int = 0) -> DataFrame:
-    """id, url, payload with revisit and refers_to: the payloads' groups are aggregated before they move, and the join is salted."""
-    rows = pages.withColumn("_digest", F.sha2("payload", 256))
-    groups = rows.filter(F.octet_length("payload") >= least_bytes).groupBy("_digest").agg(F.max("id").alias("refers_to"), F.count("*").alias("_n"))
-    groups = groups.filter("_n > 1").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int"))
-    rows = rows.join(groups, ["_digest", "_salt"], "left")
-    revisit = F.coalesce(F.col("refers_to").isNotNull() & ~F.col("id").eqNullSafe(F.col("refers_to")), F.lit(False))
-    return rows.select("id", "url", "payload", revisit.alias("revisit"), F.when(revisit, F.col("refers_to")).alias("refers_to"))
+def mark_revisits(packs: DataFrame, *, least_bytes: int = 0) -> DataFrame:
+    """pack and marks (place, repeats its id, revisit, refers_to) of the pages that don't hold the first record of both.
+
+    Only digests and ids are shuffled. Groups of equal payloads and ids are aggregated before they move, and the joins with
+    them keep a page to a row, so that Spark can cut a large group.
+    """
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pack in batch.column("pack").to_pylist():
+                ids, _, offsets, data = open_pack(pack)
+                found = [hashlib.sha256(data[a:b]).digest() for a, b in zip(offsets[:-1], offsets[1:])]
+                arrays = [pa.array([pack] * len(ids)), pa.array(np.arange(len(ids))), pa.array(ids), pa.array(found, pa.binary()), pa.array(np.diff(offsets))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["pack", "place", "key", "digest", "n_bytes"])
+
+    rows = staged(packs.select("pack").repartition(partitions(packs)).mapInArrow(digests, "pack string, place long, key long, digest binary, n_bytes long"), "digests")
+    known = F.when(F.col("key") != NO_ID, F.col("key"))
+    equal = rows.filter(F.col("n_bytes") >= least_bytes).groupBy("digest").agg(F.max(known).alias("refers_to"), F.count("*").alias("_n"))
+    equal = equal.filter("_n > 1 and refers_to is not null").drop("_n")
+    again = rows.groupBy("key").agg(F.min(F.struct("pack", "place")).alias("_first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    rows = rows.withColumn("_digest", F.when(F.col("n_bytes") >= least_bytes, F.col("digest")))
+    rows = rows.join(equal.withColumnRenamed("digest", "_digest"), "_digest", "left").join(again, "key", "left")
+    revisit = F.col("refers_to").isNotNull() & (F.col("refers_to") != F.col("key"))
+    repeats = F.col("_first").isNotNull() & (F.col("_first") != F.struct("pack", "place"))
+    marks = rows.select("pack", "place", F.coalesce(repeats, F.lit(False)).alias("repeats"), F.coalesce(revisit, F.lit(False)).alias("revisit"), "refers_to").filter("repeats or revisit")
+    return marks.groupBy("pack").agg(F.collect_list(F.struct("place", "repeats", "revisit", "refers_to")).alias("marks"))
 
 
 def write(pages: DataFrame, folder: str, *, id_column: str = "page_id", url_column: str = "url", payload_column: str = "html", least_bytes: int = 0, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Writes the archives below folder, and returns their manifest: path, n_records, n_bytes."""
-    rows = pages.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(url_column), F.lit("")).alias("url"), F.coalesce(F.col(payload_column).cast("binary"), F.lit(b"")).alias("payload"))
-    rows = mark_revisits(rows, least_bytes=least_bytes)
+    spark = pages.sparkSession
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = filesystem(folder)
@@ -99,29 +120,39 @@ def write(pages: DataFrame, folder: str, *, id_column: str = "page_id", url_colu
             out.close()
             return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([count]), pa.array([size])], names=["path", "n_records", "n_bytes"])
 
-        for some in text_slices(batches, "payload"):
-            for row in some.to_pylist():
-                if out is None:
-                    fs.create_dir(root, recursive=True)
-                    path, count, size = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = fs.open_output_stream(f"{root}/{path.rsplit('/', 1)[1]}", compression=None)
-                for record in _capture(row["id"], row["url"], row["payload"], row["refers_to"], row["revisit"], date):
-                    out.write(record)
-                    count, size = count + 1, size + len(record)
-                if size >= FILE_BYTES:
-                    yield close()
-                    out = None
+        for batch in batches:
+            for pack, marks in zip(batch.column("pack").to_pylist(), batch.column("marks").to_pylist()):
+                ids, known, offsets, data = open_pack(pack)
+                said = {m["place"]: m for m in marks or []}
+                for i, url in enumerate(open_pack(pack, 2).to_pylist()):
+                    if out is None:
+                        fs.create_dir(root, recursive=True)
+                        path, count, size = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0, 0
+                        out = fs.open_output_stream(f"{root}/{path.rsplit('/', 1)[1]}", compression=None)
+                    m = said.get(i, {"repeats": False, "revisit": False, "refers_to": None})
+                    place = f"{pack.rsplit('/', 1)[1]}-{i}" if m["repeats"] else ""
+                    for record in _capture(int(ids[i]) if known[i] else None, place, url, data[offsets[i] : offsets[i + 1]].tobytes(), m["refers_to"], m["revisit"], date):
+                        out.write(record)
+                        count, size = count + 1, size + len(record)
+                    if size >= FILE_BYTES:
+                        yield close()
+                        out = None
         if out is not None:
             yield close()
 
-    return staged(rows.mapInArrow(save, "path string, n_records long, n_bytes long"), "warc_manifest")
+    with collecting() as made:
+        packs = write_packs(pages, shared_dir(spark, "warc_packs"), id_column, payload_column, F.coalesce(F.col(url_column), F.lit("")))
+        rows = packs.select("pack").join(mark_revisits(packs, least_bytes=least_bytes), "pack", "left").repartition(partitions(packs))
+        manifest = staged(rows.mapInArrow(save, "path string, n_records long, n_bytes long"), "warc_manifest")
+        drop(spark, made[:-1])
+    return manifest
 
 
 def records_of(stream) -> Iterator[tuple[int, int, bytes]]:
-    """Offset, compressed length and content of each gzip member of a stream."""
+    """Offset, compressed length and content of each gzip member of a buffered stream, read in small steps: each member's end copies the rest of a step."""
     at, start, member, content, rest = 0, 0, zlib.decompressobj(31), [], b""
     while True:
-        data = rest or stream.read(1 << 20)
+        data = rest or stream.read(1 << 14)
         if not data:
             return
         content.append(member.decompress(data))
@@ -175,7 +206,7 @@ def read(manifest: DataFrame, *, payloads: bool = False) -> DataFrame:
             for path in batch.column("path").to_pylist():
                 fs, at = filesystem(path)
                 rows, size = [], 0
-                with fs.open_input_stream(at, compression=None) as f:
+                with fs.open_input_stream(at, compression=None, buffer_size=1 << 20) as f:
                     for offset, length, content in records_of(f):
                         row = parse(content) | {"path": path, "offset": offset, "length": length}
                         if not payloads:
@@ -193,15 +224,16 @@ def read(manifest: DataFrame, *, payloads: bool = False) -> DataFrame:
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: capture_id, response (or revisit), requests and metadata that are concurrent to it."""
-    record = F.struct(*NAMES)
-    main = records.filter(F.col("record_type").isin("response", "revisit")).select(F.col("record_id").alias("capture_id"), record.alias("response"))
-    others = records.filter(~F.col("record_type").isin("response", "revisit") & F.col("concurrent_to").isNotNull())
-    parts = others.groupBy(F.col("concurrent_to").alias("capture_id")).agg(
-        F.collect_list(F.when(F.col("record_type") == "request", record)).alias("requests"),
-        F.collect_list(F.when(F.col("record_type") == "metadata", record)).alias("metadata"),
-    )
-    return main.join(parts, "capture_id", "full_outer")
+    """One nested row per capture: capture_id, response (or revisit), requests and metadata that are concurrent to it.
+
+    Records meet under the identifier of the response in one aggregation, so the archives are read once.
+    """
+    record, kind = F.struct(*NAMES), F.col("record_type")
+    main = kind.isin("response", "revisit")
+    rows = records.select(F.when(main, F.col("record_id")).otherwise(F.col("concurrent_to")).alias("capture_id"), kind, record.alias("_record")).filter(main | F.col("capture_id").isNotNull())
+    part = lambda of: F.collect_list(F.when(of, F.col("_record")))
+    found = rows.groupBy("capture_id").agg(part(main).alias("_main"), part(kind == "request").alias("requests"), part(kind == "metadata").alias("metadata"))
+    return found.select("capture_id", F.explode_outer("_main").alias("response"), "requests", "metadata")
 
 
 def load_payload(path: str, offset: int, length: int) -> bytes:
