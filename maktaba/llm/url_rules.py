@@ -34,11 +34,19 @@ class Rule:
 
 @dataclass
 class _Node:
-    """below: next host label or path segment; rules: the rest of a rule's path after its last full segment -> rule."""
+    """below: next host label or path segment; rules: the rest of a rule's path after its last full segment -> rule; lengths: of these rests, longest first."""
 
     below: dict = field(default_factory=dict)
     paths: _Node | None = None
     rules: dict = field(default_factory=dict)
+    lengths: list = field(default_factory=list)
+
+    def longest(self, segment: str) -> Rule | None:
+        """The rule with the longest rest that the segment starts with: a look-up per length, however many rules there are."""
+        for n in self.lengths:
+            if n <= len(segment) and (rule := self.rules.get(segment[:n])) is not None:
+                return rule
+        return None
 
 
 class RuleTrie:
@@ -56,6 +64,8 @@ class RuleTrie:
             node = node.paths
             for segment in full:
                 node = node.below.setdefault(segment, _Node())
+            if len(rest) not in node.lengths:
+                node.lengths = sorted([*node.lengths, len(rest)], reverse=True)
             if rest not in node.rules or rule.action == "block":
                 node.rules[rest] = rule
 
@@ -72,9 +82,7 @@ class RuleTrie:
         for paths in reversed(fits):
             best, node = None, paths
             for i, segment in enumerate(segments):
-                for rest, rule in node.rules.items():
-                    if segment.startswith(rest) and (best is None or len(rule.path) > len(best.path)):
-                        best = rule
+                best = node.longest(segment) or best  # a deeper rule's path is longer
                 if i == len(segments) - 1:
                     break
                 node = node.below.get(segment)

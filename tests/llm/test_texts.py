@@ -191,3 +191,16 @@ def test_url_cases(spark, monkeypatch, limit):
         5: ("a.com", "", None, "block"), 6: ("a.com", "", None, "block"), 7: ("y:", "//z.com/", None, "block"), 8: ("a.org", "/en/", None, "block"),
     }
     assert url_rules.judge_urls(pages.limit(0), rules).count() == 0
+
+
+def test_url_rules_of_one_host_are_looked_up(spark):
+    rules = [url_rules.Rule("block", "a.com", f"/p{i}x") for i in range(10_000)] + [url_rules.Rule("allow", "a.com", "/p77x/deep/")]
+    trie = url_rules.RuleTrie(rules)
+    node = trie.root.below["com"].below["a"].paths.below[""]
+    assert len(node.rules) == 10_000 and node.lengths == [6, 5, 4, 3]
+    assert trie.find("b.a.com", "/p4321xyz").path == "/p4321x" and trie.find("a.com", "/p77x/deep/z").action == "allow" and trie.find("a.com", "/q") is None
+
+
+def test_url_rules_beside_other_columns(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/x", "h", "p", "r", "v", 3)], "page_id long, url string, host string, path string, _rule string, verdict string, _new int")
+    assert tuple(url_rules.judge_urls(pages, [url_rules.Rule("block", "a.com", "/x")]).first()) == (1, "a.com", "/x", "a.com/x", "block")
