@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ WHITE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u30
 WHITE_BUT_FEED = r"[\t\x0b-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 LINE_ENDS = r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85\u2028\u2029]"
 WHITE_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Before a class of rare characters: visible ASCII, the most of a text, fails at one range.
+NOT_SEEN = "(?![!-~])"
 #: White space that ends no line, and line ends other than \n.
 WHITE_IN_LINE = r"[\t\x1f\x20\xa0\u1680\u2000-\u200a\u202f\u205f\u3000]"
 OTHER_LINE_ENDS = r"[\x0b-\r\x1c-\x1e\x85\u2028\u2029]"
@@ -23,6 +27,11 @@ _ANY_CASE = {c: f"[{c}{c.upper()}{'ſ' if c == 's' else ''}]" for w in FRENCH_WO
 _FRENCH = rf"(?=[{''.join(sorted({c for w in FRENCH_WORDS for c in _ANY_CASE[w[0]][1:-1]}))}])(?<![\p{{L}}\p{{N}}_])(?:{'|'.join(''.join(_ANY_CASE[c] for c in w) for w in FRENCH_WORDS)})(?![\p{{L}}\p{{N}}_])"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once, however often `use` names it: branches share no subexpressions."""
+    return F.transform(F.array(value), use)[0]
+
+
 def strip(text: Column) -> Column:
     """text without white space at either end, as Python's str.strip() sees it."""
     return F.trim(text, F.lit(WHITE_CHARS))
@@ -34,8 +43,8 @@ def is_blank(text: Column) -> Column:
 
 def unix_lines(text: Column) -> Column:
     """The lines of text, as Python's str.splitlines() parts them, with \\n between them alone."""
-    text = F.when(text.rlike(OTHER_LINE_ENDS), F.regexp_replace(text, LINE_ENDS, "\n")).otherwise(text)
-    return F.when(F.endswith(text, F.lit("\n")), F.regexp_replace(text, r"\n\z", "")).otherwise(text)
+    text = let(text, lambda t: F.when(t.rlike(OTHER_LINE_ENDS), F.regexp_replace(t, LINE_ENDS, "\n")).otherwise(t))
+    return let(text, lambda t: F.when(F.endswith(t, F.lit("\n")), F.regexp_replace(t, r"\n\z", "")).otherwise(t))
 
 
 def lines(text: Column) -> Column:
@@ -61,12 +70,12 @@ def has_french(text: Column) -> Column:
 
 def one_space(text: Column) -> Column:
     """Runs of white space but \\n as one space each. Single plain spaces, the most of them, are no match."""
-    return F.regexp_replace(text, rf"{WHITE_BUT_FEED}{{2,}}|{WHITE_BUT_FEED.replace(chr(92) + 'x20', chr(92) + 'x1f')}", " ")
+    return F.regexp_replace(text, rf"{NOT_SEEN}{WHITE_BUT_FEED}(?:{WHITE_BUT_FEED}+|(?<! ))", " ")
 
 
 def few_line_feeds(text: Column) -> Column:
     """Four line feeds or more as three."""
-    return F.when(F.contains(text, F.lit("\n" * 4)), F.regexp_replace(text, r"\n{4,}", "\n\n\n")).otherwise(text)
+    return let(text, lambda t: F.when(F.contains(t, F.lit("\n" * 4)), F.regexp_replace(t, r"\n{4,}", "\n\n\n")).otherwise(t))
 
 
 def clean_text(text: Column) -> Column:

@@ -14,7 +14,8 @@ ARTICLE = rf"(?iu)a?rticle{_W}+(?:premier|1er|\p{{Nd}}+{_W}*(?:bis|ter|quater|qu
 FIRST_ARTICLE = rf"(?iu)a?rticle{_W}+(?:premier|1er|1){_W}*[.\-–:]"
 CHAPTER = rf"(?dm)(?:CHAPITRE|Chapitre){_W}+(PREMIER|PREMIÈRE|[IVXLC]+|\p{{Nd}}+)(?:{_W}*[-–:]{_W}*(.+?))?$"
 SECTION = rf"(?dm)(?:SECTION|Section){_W}+(PREMIÈRE|PREMIERE|PREMIER|[IVXLC]+|\p{{Nd}}+)(?:{_W}*[-–:]{_W}*(.+?))?$"
-MARK = "\u0001"
+#: Where an article begins: with its "a", or with the "r" that lacks it.
+BEFORE_ARTICLE = rf"(?iu)(?=a?r)(?:(?={ARTICLE[5:].replace('a?', 'a', 1)})|(?<!a)(?={ARTICLE[5:].replace('a?', '', 1)}))"
 HEADER_CHARS = 2000
 
 
@@ -41,9 +42,10 @@ def split_articles(docs: DataFrame, *, id_column: str = "doc_id", text_column: s
     A heading before an article counts for that article and, as it stands at the end of the article before, for that one
     too. A chapter or section holds until the next one. One exchange on the document's id serves all windows.
     """
-    text = F.translate(F.coalesce(F.col(text_column), F.lit("")), MARK, "")
-    parts = F.split(F.regexp_replace(text, ARTICLE, f"{MARK}$0"), MARK)
+    # A split drops an empty first part before a match without width, so a blank stands before it and goes again.
+    parts = F.split(F.concat(F.lit(" "), F.coalesce(F.col(text_column), F.lit(""))), BEFORE_ARTICLE)
     rows = docs.select(F.col(id_column).alias("doc_id"), F.posexplode(parts).alias("ord", "_part"))
+    rows = rows.withColumn("_part", F.when(F.col("ord") == 0, F.expr("substring(_part, 2)")).otherwise(F.col("_part")))
     order = Window.partitionBy("doc_id").orderBy("ord")
     rows = rows.withColumn("start_pos", F.coalesce(F.sum(F.length("_part")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int"))
     rows = rows.withColumn("article_marker", F.when(F.col("ord") > 0, F.regexp_extract("_part", rf"\A({ARTICLE})", 1)).otherwise(""))
