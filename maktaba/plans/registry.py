@@ -320,7 +320,29 @@ def header_reply(spark, sf_dir):
 # Model replies
 
 
-@query("chunk_text")
+def _packed(parts: str, glue: str, long: str | None) -> str:
+    """Greedy packing as a fold over structs (out, cur, more): the chunks so far, the open one, and of a part its own chunks if it is long."""
+    closed = f"list_concat(s.out, CASE WHEN {_strip('s.cur')} <> '' THEN [{_strip('s.cur')}] ELSE CAST([] AS STRING[]) END)"
+    over, is_long = f"length(s.cur) + length(x.cur) > {correction.MAX_CHUNK}", f"length(x.cur) > {correction.MAX_CHUNK}" if long else "FALSE"
+    out = f"CASE WHEN NOT ({over}) THEN s.out WHEN {is_long} THEN list_concat({closed}, x.more) ELSE {closed} END"
+    cur = f"CASE WHEN NOT ({over}) THEN CASE WHEN s.cur = '' THEN x.cur ELSE s.cur || {glue} || x.cur END WHEN {is_long} THEN CASE WHEN {_strip('s.cur')} <> '' THEN '' ELSE s.cur END ELSE x.cur END"
+    none, empty = "CAST([] AS STRING[])", "{'out': CAST([] AS STRING[]), 'cur': '', 'more': CAST([] AS STRING[])}"
+    start = f"list_transform({parts}, lambda p: {{'out': {none}, 'cur': p, 'more': {long or none}}})"
+    fold = f"list_reduce({start}, lambda s, x: {{'out': {out}, 'cur': {cur}, 'more': {none}}}, {empty})"
+    return f"list_transform([{fold}], lambda s: {closed})[1]"
+
+
+_SENTENCES = rf"string_split(regexp_replace(p, '\.{W}+([A-ZÀ-Ý])', '.' || chr(1) || '\1', 'g'), chr(1))"
+_LONG = f"CASE WHEN length(p) > {correction.MAX_CHUNK} THEN {_packed(_SENTENCES, "' '", None)} ELSE CAST([] AS STRING[]) END"
+_PARAGRAPHS = rf"list_filter(list_transform(regexp_split_to_array(t, '\n{W}*\n'), lambda q: {_strip('q')}), lambda q: q <> '')"
+_CHUNKS = (
+    f"{_RULES}, sides AS (SELECT doc_id, 'french' AS lang, french_text AS t FROM cleaned UNION ALL SELECT doc_id, 'arabic', arabic_text FROM cleaned), "
+    f"chunked AS (SELECT doc_id, lang, {_packed(_PARAGRAPHS, f'{N} || {N}', _LONG)} AS c FROM sides), "
+    "chunks AS (SELECT doc_id, lang, CAST(generate_subscripts(c, 1) AS INT) AS chunk_no, unnest(c) AS original FROM chunked)"
+)
+
+
+@query("chunk_text", on_laws("SELECT * FROM chunks", _CHUNKS))
 def chunk_text(spark, sf_dir):
     return correction.chunk_table(cleaning.rule_clean(laws(spark, sf_dir)))
 
@@ -343,7 +365,8 @@ _VERDICT = (
 def validate_correction(spark, sf_dir):
     changed = "CASE ord % 6 WHEN 0 THEN raw_text WHEN 1 THEN raw_text || raw_text WHEN 2 THEN 'Article 2 ' || raw_text WHEN 3 THEN replace(raw_text, 'rticle 4', 'RTICLE 9') WHEN 4 THEN 'Voici ' || raw_text ELSE upper(raw_text) END"
     rows = structure.split_articles(laws(spark, sf_dir)).select("doc_id", "ord", F.col("raw_text").alias("a"), F.expr(changed).alias("b"))
-    reason = correction.validate(F.col("a"), F.col("b"))
+    rows = rows.withColumn("reason", correction.validate(F.col("a"), F.col("b")))
+    reason = F.col("reason")
     kind = F.when(reason.isNull(), "ok").when(reason.startswith("Text length"), "length").when(reason.startswith("Legal marker"), "marker").when(reason.startswith("Article numbers"), "numbers").otherwise("comment")
     return rows.select("doc_id", "ord", kind.alias("verdict"))
 
@@ -352,17 +375,18 @@ def _words(x: str) -> str:
     return f"CASE WHEN {_strip(x)} = '' THEN [] ELSE list_distinct(regexp_split_to_array({_strip(x)}, '{W}+')) END"
 
 
-@query("word_changes", on_laws(f"SELECT doc_id, CAST(len(list_filter(x, lambda w: NOT list_contains(y, w))) + len(list_filter(y, lambda w: NOT list_contains(x, w))) AS INT) AS changed FROM (SELECT doc_id, {_words('lower(left(text, 3000))')} AS x, {_words('lower(substr(text, 1500, 3000))')} AS y FROM laws)"))
-def word_changes(spark, sf_dir):
-    text = F.col("text")
-    return laws(spark, sf_dir).select("doc_id", correction.word_changes(F.substring(text, 1, 3000), F.substring(text, 1500, 3000)).alias("changed"))
+_SWAPPED = "replace(text, 'th', 'ht')"
 
 
-@query("word_changes_whole")
-def word_changes_whole(spark, sf_dir):
-    """word_changes over whole texts, which its SQL's list_contains is slow on; a brute-force test stands for SQL."""
-    text = F.col("text")
-    return laws(spark, sf_dir).select("doc_id", correction.word_changes(text, F.regexp_replace(text, "th", "ht")).alias("changed"))
+@query(
+    "word_changes",
+    on_laws(
+        "SELECT laws.doc_id, CAST(coalesce(n, 0) AS INT) AS changed FROM laws LEFT JOIN (SELECT doc_id, count(*) AS n FROM ((FROM x EXCEPT FROM y) UNION ALL (FROM y EXCEPT FROM x)) GROUP BY doc_id) USING (doc_id)",
+        f"x AS (SELECT DISTINCT doc_id, unnest({_words('lower(text)')}) AS w FROM laws), y AS (SELECT DISTINCT doc_id, unnest({_words(f'lower({_SWAPPED})')}) AS w FROM laws)",
+    ),
+)
+def word_changes(spark, sf_dir):
+    return laws(spark, sf_dir).select("doc_id", correction.word_changes(F.col("text"), F.expr(_SWAPPED)).alias("changed"))
 
 
 @query("reply_unfence", on_laws(f"SELECT doc_id, {_strip('text')} AS reply, CAST(floor((length({_strip('text')}) + 16) / 4) AS INT) AS tokens FROM laws"))
@@ -386,13 +410,13 @@ def json_reply(spark, sf_dir):
 _NUMBER = rf"regexp_replace({_strip(rf"regexp_replace(article_marker, '(?i)\Aa?rticle|[.\-–:]\z', '', 'g')")}, '{W}+', ' ', 'g')"
 _ROWS = (
     f"made AS (SELECT a.doc_id, a.ord, {_NUMBER} AS article_number, coalesce(TRY_CAST(regexp_extract({_NUMBER}, '\\A(\\p{{Nd}}+)', 1) AS INT), a.ord) AS article_order, raw_text AS content_french, "
-    "CASE WHEN a.ord % 3 = 0 THEN 'فصل ' || CAST(a.ord AS STRING) ELSE '' END AS content_arabic, chapter_detected AS chapter, h.law_type, h.law_number, h.parent_document_id FROM articles a JOIN head h USING (doc_id) WHERE a.ord % 4 <> 2), "
+    "CASE WHEN a.ord % 3 = 0 THEN 'فصل ' || CAST(a.ord AS STRING) ELSE '' END AS content_arabic, chapter_detected AS chapter, h.law_type, h.law_number, h.year, h.parent_document_id FROM articles a JOIN head h USING (doc_id)), "
     "named AS (SELECT *, coalesce(parent_document_id || '-', '') || 'art-' || coalesce(nullif(article_number, ''), CAST(article_order AS STRING)) AS article_id FROM made)"
 )
 _ALL = f"{_ARTICLES}, {_HEADERS}, {_ROWS}"
 
 
-def _assembled(spark, sf_dir, *, failures: bool = True) -> DataFrame:
+def _assembled(spark, sf_dir, *, failures: bool = False) -> DataFrame:
     table = laws(spark, sf_dir)
     number = F.regexp_replace(T.strip(F.regexp_replace("article_marker", r"(?iu)\Aa?rticle|[.\-–:]\z", "")), f"{T.WHITE}+", " ")
     rows = structure.split_articles(table)
@@ -428,21 +452,38 @@ def search_content(spark, sf_dir):
     return _assembled(spark, sf_dir).select("doc_id", "ord", "search_content")
 
 
+#: The columns of the article table that the made replies leave at their defaults, by default.
+_DEFAULTS = {
+    "''": ("summary", "summary_french", "summary_arabic"), "[]": ("institutions", "legal_domains", "target_audience", "related_laws", "entity_names", "entity_types", "entity_ids", "relation_target_ids", "relation_types"),
+    "FALSE": assembly.FLAGS, "'LOW'": ("business_impact", "ambiguity_level"), "1": ("graph_level", "version"), "'ACTIVE'": ("status",), "'TUNISIA'": ("jurisdiction",), "'1966-04-30T00:00:00Z'": ("effective_date",),
+    "NULL": (*assembly.NULLABLE, "institution", "institution_primary", "institution_secondary", "title_french", "title_arabic", "publication_date", "repeal_date", "superseded_by_id", "supersedes_id", "next_check", "source_name", "source_number", "source_date", "source_url"),
+}
+_FIXED = ", ".join(f"{'CAST(NULL AS STRING)' if v == 'NULL' else 'CAST([] AS STRING[])' if v == '[]' else v} AS {c}" for v, names in _DEFAULTS.items() for c in names)
+
+
 @query(
     "assemble",
-    on_laws(f"SELECT doc_id, ord, 'TUNISIA' AS jurisdiction, law_type, law_number, chapter, {_key('chapter')} AS chapter_normalized, 'LOW' AS business_impact, FALSE AS has_penalties, 1 AS graph_level, 'ACTIVE' AS status, 1 AS version, '1966-04-30T00:00:00Z' AS effective_date FROM named", _ALL),
+    on_laws(
+        f"SELECT doc_id, ord, article_id, law_type, law_number, year, parent_document_id, nullif(chapter, '') AS chapter, {_key('chapter')} AS chapter_normalized, nullif(article_number, '') AS article_number, article_order, content_french, content_arabic, "
+        "concat_ws(' ', nullif(content_french, ''), nullif(content_arabic, '')) AS content_combined, sha256(content_french || content_arabic) AS content_hash_sha256, ['loi', CAST(ord AS STRING)] AS keywords, "
+        "concat_ws(', ', law_type || ' ' || law_number, 'loi', CAST(ord AS STRING), left(nullif(content_french, ''), 200), left(nullif(content_arabic, ''), 200)) AS search_content, "
+        f"lag(article_id) OVER w AS preceding_article_id, lead(article_id) OVER w AS following_article_id, {_FIXED} FROM named WINDOW w AS (PARTITION BY doc_id ORDER BY ord)",
+        _ALL,
+    ),
 )
 def assemble(spark, sf_dir):
-    return _assembled(spark, sf_dir).select("doc_id", "ord", "jurisdiction", "law_type", "law_number", "chapter", "chapter_normalized", "business_impact", "has_penalties", "graph_level", "status", "version", "effective_date")
+    """All articles with all columns of the article table but last_checked, which is the time of the run."""
+    return _assembled(spark, sf_dir).drop("last_checked")
 
 
 @query(
     "parse_results",
-    on_laws("SELECT a.doc_id, count(n.ord) AS total_articles, count(*) AS rough_chunks, count(*) + 1 AS llm_calls, count(*) - count(n.ord) AS failed FROM articles a LEFT JOIN named n ON n.doc_id = a.doc_id AND n.ord = a.ord GROUP BY a.doc_id", _ALL),
+    on_laws("SELECT a.doc_id, count(n.ord) AS total_articles, count(*) AS rough_chunks, count(*) + 1 AS llm_calls, count(*) - count(n.ord) AS failed, coalesce(string_agg(CASE WHEN n.ord IS NULL THEN 'Article ' || a.ord || ': extraction failed, skipped.' END, ' ' ORDER BY a.ord), '') AS warnings FROM articles a LEFT JOIN named n ON n.doc_id = a.doc_id AND n.ord = a.ord AND n.ord % 4 <> 2 GROUP BY a.doc_id", _ALL),
 )
 def parse_results(spark, sf_dir):
     rough = structure.split_articles(laws(spark, sf_dir))
-    return assembly.parse_results(_assembled(spark, sf_dir), rough).drop("warnings")
+    found = assembly.parse_results(_assembled(spark, sf_dir, failures=True), rough)
+    return found.withColumn("warnings", F.array_join("warnings", " "))
 
 
 @query("article_log", on_laws("SELECT doc_id, ord, article_id || ' [None] FR=' || CASE WHEN trim(content_french) <> '' THEN 'yes' ELSE 'no' END || ' AR=' || CASE WHEN trim(content_arabic) <> '' THEN 'yes' ELSE 'no' END || ' | ' AS line FROM named", _ALL))
@@ -473,45 +514,42 @@ def change_summary(spark, sf_dir):
     return rows.select("doc_id", correction.change_summary(F.length("text"), F.length("cleaned_text"), F.col("noise_chars_removed"), F.col("noise_lines_removed"), none, none, none, F.lit(1.5)).alias("summary"))
 
 
-@query("article_report")
+@query(
+    "article_report",
+    on_laws(
+        f"SELECT doc_id, ord, '── Article ' || coalesce(nullif(article_number, ''), 'None') || ' (order: ' || article_order || ') ──' || {N} || coalesce('Chapter: ' || chapter || {N}, '') || 'Summary: ...' || {N} || 'Keywords: loi, ' || ord || {N} || 'Impact: LOW' || {N} || "
+        f"'Obligations: False | Penalties: False' || {N} || 'Prev: ' || coalesce(lag(article_id) OVER w, 'None') || {N} || 'Next: ' || coalesce(lead(article_id) OVER w, 'None') AS report FROM named WINDOW w AS (PARTITION BY doc_id ORDER BY ord)",
+        _ALL,
+    ),
+)
 def article_report(spark, sf_dir):
-    return sinks.report(_assembled(spark, sf_dir, failures=False))
-
-
-@query("assemble_whole")
-def assemble_whole(spark, sf_dir):
-    """All articles, with all columns of the article table."""
-    return _assembled(spark, sf_dir, failures=False)
+    return sinks.report(_assembled(spark, sf_dir))
 
 
-@query("article_log_whole")
-def article_log_whole(spark, sf_dir):
-    return sinks.log_line(_assembled(spark, sf_dir, failures=False))
+_BOTH = f"wordlists AS (SELECT doc_id, {_words('text').replace('list_distinct', '')} AS x, {_words(_SWAPPED).replace('list_distinct', '')} AS y FROM laws), " "pairs AS (SELECT doc_id, list_filter(list_zip(x[:least(len(x), len(y))], y[:least(len(x), len(y))]), lambda p: p[1] <> p[2]) AS d FROM wordlists)"
 
 
-@query("word_diff")
+@query("word_diff", on_laws("SELECT doc_id, array_to_string(list_transform(d[:5], lambda p: p[1] || ' → ' || p[2]), '; ') AS changes, CAST(greatest(len(d) - 5, 0) AS INT) AS remaining FROM pairs", _BOTH))
 def word_diff(spark, sf_dir):
-    text = F.col("text")
-    return laws(spark, sf_dir).select("doc_id", correction.word_diff(text, F.regexp_replace(text, "th", "ht")).alias("d")).select("doc_id", "d.changes", "d.remaining")
+    found = laws(spark, sf_dir).select("doc_id", correction.word_diff(F.col("text"), F.expr(_SWAPPED)).alias("d"))
+    shown = F.transform("d.changes", lambda p: F.concat(p["before"], F.lit(" → "), p["after"]))
+    return found.select("doc_id", F.array_join(shown, "; ").alias("changes"), "d.remaining")
 
 
 # Pages and formats: each text of the documents table is a page of the law that it belongs to
 
-_PAGE = "CASE WHEN doc_id % 3 = 0 THEN left(text, 40) WHEN doc_id % 7 = 0 THEN ' ' ELSE text END"
+_CONFIDENCE = "CASE WHEN doc_id % 4 > 0 THEN CAST(doc_id % 100 AS DOUBLE) / 100 END AS confidence"
 _PAGES = (
-    f"pg AS (SELECT CAST(floor(doc_id / 10) AS BIGINT) AS id, CAST(doc_id % 10 + 1 AS INT) AS page_number, {_clean(_PAGE)} AS text, CASE WHEN doc_id % 4 > 0 THEN CAST(doc_id % 100 AS DOUBLE) / 100 END AS confidence FROM documents), "
+    f"raw AS (SELECT CAST(floor(doc_id / 10) AS BIGINT) AS id, CAST(doc_id % 10 + 1 AS INT) AS page_number, text, {_CONFIDENCE} FROM documents), "
+    "more AS (SELECT id, page_number + place AS page_number, added AS text, CAST(NULL AS DOUBLE) AS confidence FROM raw, (VALUES (10, 'page 7 du scan'), (20, ' ')) v(place, added) WHERE id % 3 = 0), "
+    f"pg AS (SELECT id, page_number, {_clean("coalesce(text, '')")} AS text, confidence FROM (FROM raw UNION ALL FROM more)), "
     f"agg AS (SELECT id AS doc_id, count(*) AS total_pages, count(*) FILTER (length({_strip('text')}) < 50) AS short_pages, round(avg(confidence), 9) AS avg_confidence, string_agg(text, {N} || {N} ORDER BY page_number) FILTER (NOT ({_blank('text')})) AS t FROM pg GROUP BY id)"
 )
 
 
 def _page_documents(spark, sf_dir) -> DataFrame:
-    rows = _documents(spark, sf_dir).selectExpr("CAST(floor(doc_id / 10) AS BIGINT) AS doc_id", "CAST(doc_id % 10 + 1 AS INT) AS page_number", f"{_PAGE} AS text", "CASE WHEN doc_id % 4 > 0 THEN CAST(doc_id % 100 AS DOUBLE) / 100 END AS confidence")
-    return extraction.documents(extraction.page_table(rows))
-
-
-def _whole_page_documents(spark, sf_dir) -> DataFrame:
     """Each text whole as a page. Every third law gets a short and a blank page per text besides, so that it counts as scanned."""
-    rows = _documents(spark, sf_dir).selectExpr("CAST(floor(doc_id / 10) AS BIGINT) AS doc_id", "CAST(doc_id % 10 + 1 AS INT) AS page_number", "text", "CASE WHEN doc_id % 4 > 0 THEN CAST(doc_id % 100 AS DOUBLE) / 100 END AS confidence")
+    rows = _documents(spark, sf_dir).selectExpr("CAST(floor(doc_id / 10) AS BIGINT) AS doc_id", "CAST(doc_id % 10 + 1 AS INT) AS page_number", "text", _CONFIDENCE)
     more = rows.filter("doc_id % 3 = 0").select("doc_id", "page_number", F.explode(F.array(F.struct(F.lit(10).alias("after"), F.lit("page 7 du scan").alias("text")), F.struct(F.lit(20).alias("after"), F.lit(" ").alias("text")))).alias("x"))
     more = more.selectExpr("doc_id", "page_number + x.after AS page_number", "x.text AS text", "CAST(NULL AS DOUBLE) AS confidence")
     return extraction.documents(extraction.page_table(rows.union(more)))
@@ -534,30 +572,12 @@ def avg_confidence(spark, sf_dir):
 
 @query("ocr_choice", f"WITH {_PAGES}, nat AS (SELECT doc_id, {_clean("coalesce(t, '')")} AS n, short_pages / total_pages > 0.5 AS sc FROM agg) SELECT doc_id, sc AND doc_id % 2 = 0 AS used_ocr, CASE WHEN sc AND doc_id % 2 = 0 THEN n || ' OCR' ELSE n END AS full_text FROM nat")
 def ocr_choice(spark, sf_dir):
-    return _ocr_choice(_page_documents(spark, sf_dir))
-
-
-def _ocr_choice(native: DataFrame) -> DataFrame:
+    native = _page_documents(spark, sf_dir)
     ocr = native.select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.concat("full_text", F.lit(" OCR"))).otherwise(F.lit("")).alias("full_text"), F.lit(0.9).alias("avg_confidence"))
     rows = extraction.choose_text(native, ocr)
     return rows.select("doc_id", (F.col("extraction_method") == "ocr").alias("used_ocr"), "full_text")
 
 
-@query("page_concat_whole")
-def page_concat_whole(spark, sf_dir):
-    return _whole_page_documents(spark, sf_dir).select("doc_id", "full_text", "total_pages")
-
-
-@query("scanned_docs_whole")
-def scanned_docs_whole(spark, sf_dir):
-    return _whole_page_documents(spark, sf_dir).select("doc_id", "short_pages", "is_scanned", "has_french_content")
-
-
-@query("ocr_choice_whole")
-def ocr_choice_whole(spark, sf_dir):
-    return _ocr_choice(_whole_page_documents(spark, sf_dir))
-
-
 @query("ocr_confidence", "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 0.0 ELSE round((doc_id % 97 + 1 + 88) / 2 / 100, 3) END AS confidence FROM documents")
 def ocr_confidence(spark, sf_dir):
     confs = F.when(F.col("doc_id") % 5 == 0, F.array(F.lit("-1"), F.lit("0"), F.lit("x"))).otherwise(F.array(F.lit("-1"), (F.col("doc_id") % 97 + 1).cast("string"), F.lit("88"), F.lit("95.5"), F.lit("0")))
@@ -585,6 +605,6 @@ def correction_layer(spark, sf_dir):
 
 @query("envelopes")
 def envelopes(spark, sf_dir):
-    pages = _whole_page_documents(spark, sf_dir).select("doc_id", "full_text", "total_pages", "is_scanned")
+    pages = _page_documents(spark, sf_dir).select("doc_id", "full_text", "total_pages", "is_scanned")
     cleaned = cleaning.rule_clean(laws(spark, sf_dir)).drop("text")
     return sinks.envelope(2, pages, cleaned)
