@@ -10,6 +10,7 @@ from ..functions import text as T
 # File name extensions and their formats.
 FORMATS = {".pdf": "pdf", ".docx": "docx", ".doc": "docx", ".txt": "txt", ".text": "txt"}
 SHORT_PAGE = 50
+SCANNED = "Document appears to be scanned ({short}/{pages} pages with <" + str(SHORT_PAGE) + " chars). Consider using OCR extractor."
 
 
 def file_format(path: Column) -> Column:
@@ -35,18 +36,23 @@ def word_confidence(values: Column) -> Column:
     return F.when(F.size(whole) > 0, F.bround(total / F.size(whole) / 100, 3)).otherwise(F.lit(0.0))
 
 
-def documents(pages: DataFrame) -> DataFrame:
-    """Per doc_id of a page table (doc_id, page_number, text, confidence): text, counts, flags, mean confidence, scanned test."""
-    short = F.length(T.strip(F.col("text"))) < SHORT_PAGE
+def documents(pages: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
+    """Per doc_id of a page table (doc_id, page_number, text, confidence): text, counts, flags, mean confidence, scanned test.
+
+    A row without a page number is no page; `more` names further aggregates of the same rows.
+    """
+    short = F.col("page_number").isNotNull() & (F.length(T.strip(F.col("text"))) < SHORT_PAGE)
     ordered = F.sort_array(F.collect_list(F.when(~T.is_blank(F.col("text")), F.struct("page_number", "text"))))
     rows = pages.groupBy("doc_id").agg(
-        ordered.alias("_p"), F.count("*").alias("total_pages"), F.count_if(short).alias("short_pages"), F.avg("confidence").alias("avg_confidence"),
+        ordered.alias("_p"), F.count("page_number").alias("total_pages"), F.count_if(short).alias("short_pages"), F.avg("confidence").alias("avg_confidence"),
         F.sum(F.length(T.strip(F.col("text")))).alias("stripped_chars"),
+        *[c.alias(n) for n, c in (more or {}).items()],
     )
     full = T.clean_text(F.array_join(F.transform("_p", lambda p: p["text"]), "\n\n"))
-    rows = rows.withColumn("full_text", full).withColumn("is_scanned", F.col("short_pages") / F.col("total_pages") > 0.5)
+    rows = rows.withColumn("full_text", full).withColumn("is_scanned", F.coalesce(F.col("short_pages") / F.nullif("total_pages", F.lit(0)) > 0.5, F.lit(False)))
     rows = rows.withColumn("has_arabic_content", T.has_arabic(F.col("full_text"))).withColumn("has_french_content", T.has_french(F.col("full_text")))
-    warning = F.concat(F.lit("Document appears to be scanned ("), "short_pages", F.lit("/"), "total_pages", F.lit(f" pages with <{SHORT_PAGE} chars). Consider using OCR extractor."))
+    before, after = SCANNED.split("{short}/{pages}")
+    warning = F.concat(F.lit(before), "short_pages", F.lit("/"), "total_pages", F.lit(after))
     rows = rows.withColumn("warnings", F.when(F.col("is_scanned"), F.array(warning)).otherwise(F.array().cast("array<string>")))
     return rows.drop("_p")
 

@@ -1,25 +1,30 @@
 """File sources: text, Word and page-wise PDF/OCR files as rows of binaryFile, read by partitions.
 
-PDF text and OCR need a page reader, which is a function (bytes) -> [(page number, text, confidence or None)]; readers for
-installed libraries are found by `native_pdf_reader` and `ocr_reader`, and any other can be passed in.
+PDF text and OCR need a page reader, which is a function (bytes) -> pages (page number, text, confidence or None), best a
+generator, so that pages before an error are kept. Readers of installed libraries are looked for where files are read, and
+only when a file needs one; any other can be passed in. A PDF file is read natively once, and by OCR only if it looks scanned.
 """
 
 from __future__ import annotations
 
 import io
 import os
+import re
 import xml.etree.ElementTree as ET
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..operators import extraction
 
-Reader = Callable[[bytes], list[tuple[int, str, float | None]]]
-PAGES = "path string, page_number int, text string, confidence double, warning string"
+Reader = Callable[[bytes], Iterable[tuple[int, str, float | None]]]
+#: A row per page, and one without a page number per file, which carries its warnings.
+PAGES = "path string, length long, format string, method string, scanned boolean, page_number int, text string, confidence double, warnings array<string>"
+LANGUAGES, DPI = "fra+ara", 300
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 
@@ -60,9 +65,11 @@ def decode_text(content: Column) -> tuple[Column, Column]:
 
 
 def text_pages(files: DataFrame) -> DataFrame:
+    """PAGES of text files, without Python but for bytes that aren't UTF-8."""
     text, encoding = decode_text(F.col("content"))
-    rows = files.filter("format = 'txt'").select("path", F.lit(1).alias("page_number"), text.alias("text"), F.lit(None).cast("double").alias("confidence"), encoding.alias("_e"))
-    return rows.withColumn("warning", F.when(F.col("_e") != "utf-8", F.concat(F.lit("File was not UTF-8. Decoded using: "), "_e"))).drop("_e")
+    rows = files.select("path", "length", "format", text.alias("_t"), encoding.alias("_e"))
+    said = F.when(F.col("_e") != "utf-8", F.array(F.concat(F.lit("File was not UTF-8. Decoded using: "), "_e"))).otherwise(F.array().cast("array<string>"))
+    return rows.select("path", "length", "format", F.lit("plain_text").alias("method"), F.lit(False).alias("scanned"), F.lit(1).alias("page_number"), F.col("_t").alias("text"), F.lit(None).cast("double").alias("confidence"), said.alias("warnings"))
 
 
 def _paragraph_text(node: ET.Element) -> str:
@@ -97,80 +104,182 @@ def docx_sections(content: bytes) -> list[tuple[int, str]]:
     return [(i, t) for i, s in enumerate(sections, 1) if (t := "\n".join(s)).strip()]
 
 
-def _read_docx(content: bytes) -> list[tuple[int, str, float | None]]:
-    return [(n, t, None) for n, t in docx_sections(content)]
+def _clean(text: str) -> str:
+    """functions.text.clean_text for one text, to compare the lengths of two readings of a file."""
+    text = re.sub(r"\n{4,}", "\n\n\n", re.sub(f"{T.WHITE_BUT_FEED}+", " ", text or ""))
+    return "\n".join(line.strip() for line in text.splitlines()).strip()
 
 
-def read_pages(files: DataFrame, kind: str, reader: Reader) -> DataFrame:
-    """The pages that a reader finds in files of a format; a failure keeps no pages and leaves a warning row without a page."""
+class _Reading:
+    """What one reader finds in one file; an error ends the reading and keeps the pages before it."""
+
+    def __init__(self, reader: Reader, content: bytes, error: str):
+        self.pages: list[tuple] = []
+        self.warnings: list[str] = list(getattr(reader, "warnings", lambda: [])())
+        try:
+            for number, text, confidence in reader(content):
+                self.pages.append((number, text, confidence))
+        except Exception as e:  # noqa: BLE001  one bad file must not end the job
+            self.warnings.append(f"{error}: {e}")
+
+    def lengths(self) -> list[int]:
+        return [len(_clean(t)) for _, t, _ in self.pages]
+
+    def chars(self) -> int:
+        return len(_clean("\n\n".join(t for t in (_clean(t) for _, t, _ in self.pages) if t)))
+
+
+def read_docx(content: bytes) -> tuple[str, bool, list[tuple], list[str]]:
+    try:
+        return "docx_parse", False, [(n, t, None) for n, t in docx_sections(content)], []
+    except zipfile.BadZipFile:
+        return "docx_parse", False, [], ["File is not a valid .docx package."]
+    except Exception as e:  # noqa: BLE001
+        return "docx_parse", False, [], [f"Error opening DOCX: {e}"]
+
+
+def read_pdf(content: bytes, native: Reader | None, second: Reader | None, ocr: Callable[[], Reader], *, force_ocr: bool = False) -> tuple[str, bool, list[tuple], list[str]]:
+    """Method, whether it looks scanned, pages and warnings of a PDF file.
+
+    A native reading of which most pages have few characters looks scanned; then OCR reads the file as well, and the
+    strictly longer text wins. A native reading that is poor otherwise gives way to that of the second reader.
+    """
+    if force_ocr:
+        found = _Reading(ocr(), content, "OCR extraction error")
+        return "ocr", True, found.pages, found.warnings
+    found = _Reading(native, content, "PDF extraction error")
+    lengths, said = found.lengths(), found.warnings
+    short = sum(n < extraction.SHORT_PAGE for n in lengths)
+    scanned = bool(lengths) and short / len(lengths) > 0.5
+    if scanned:
+        said.append(extraction.SCANNED.format(short=short, pages=len(lengths)))
+        try:
+            seen = _Reading(ocr(), content, "OCR extraction error")
+            if seen.chars() > found.chars():
+                return "ocr", True, seen.pages, seen.warnings
+            said += [w for w in seen.warnings if w.startswith("OCR extraction error")]
+        except Exception as e:  # noqa: BLE001  the native reading stands
+            said.append(f"OCR fallback failed: {e}")
+    elif sum(lengths) < extraction.SHORT_PAGE and second is not None:
+        said.append("PyMuPDF extraction poor, falling back to pdfplumber.")
+        found = _Reading(second, content, "pdfplumber extraction error")
+        said += found.warnings
+    return "native_pdf", scanned, found.pages, said
+
+
+def _rows(files: DataFrame, read: Callable[[bytes], tuple[str, bool, list[tuple], list[str]]]) -> DataFrame:
+    """PAGES of files: each is read once, whatever the number of results that are made of it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for path, content in zip(batch["path"], batch["content"]):
-                try:
-                    found = reader(bytes(content))
-                    rows += [(path, n, t, c, None) for n, t, c in found]
-                except zipfile.BadZipFile:
-                    rows.append((path, None, None, None, "File is not a valid .docx package."))
-                except Exception as e:  # noqa: BLE001  one bad file must not end the job
-                    rows.append((path, None, None, None, f"Error opening {kind.upper()}: {e}"))
-            yield pd.DataFrame(rows, columns=["path", "page_number", "text", "confidence", "warning"]).astype({"page_number": "Int32", "confidence": "float64"})
-
-    return files.filter(F.col("format") == kind).select("path", "content").mapInPandas(run, PAGES)
-
-
-def native_pdf_reader() -> Reader | None:
-    """A page reader of an installed PDF library, or None."""
+            for path, length, kind, content in zip(batch["path"], batch["length"], batch["format"], batch["content"]):
+                method, scanned, pages, said = read(bytes(content))
+                rows = [(path, length, kind, method, scanned, n, t, c, []) for n, t, c in pages] + [(path, length, kind, method, scanned, None, None, None, said)]
+                names = ["path", "length", "format", "method", "scanned", "page_number", "text", "confidence", "warnings"]
+                yield pd.DataFrame(rows, columns=names).astype({"page_number": "Int32", "confidence": "float64"})
+
+    return files.select("path", "length", "format", "content").mapInPandas(run, PAGES)
+
+
+def native_pdf_readers() -> list[Reader]:
+    """Page readers of the installed PDF libraries, the quicker one first."""
+    found: list[Reader] = []
     try:
         import fitz
+
+        found.append(lambda content: ((i, p.get_text("text"), None) for i, p in enumerate(fitz.open(stream=content, filetype="pdf"), 1)))
     except ImportError:
+        pass
+    try:
+        import pdfplumber
+
+        found.append(lambda content: ((i, p.extract_text() or "", None) for i, p in enumerate(pdfplumber.open(io.BytesIO(content)).pages, 1)))
+    except ImportError:
+        pass
+    return found
+
+
+class TesseractReader:
+    """Pages by OCR: each page as an image of `dpi` dots an inch, with the mean confidence of its words.
+
+    The libraries are imported when the first file is read; without them that reading fails with an ImportError.
+    """
+
+    def __init__(self, languages: str = LANGUAGES, dpi: int = DPI):
+        self.languages, self.dpi = languages, dpi
+
+    def warnings(self) -> list[str]:
+        """What the installation lacks."""
         try:
-            import pdfplumber
-        except ImportError:
-            return None
-        return lambda content: [(i, p.extract_text() or "", None) for i, p in enumerate(pdfplumber.open(io.BytesIO(content)).pages, 1)]
-    return lambda content: [(i, p.get_text("text"), None) for i, p in enumerate(fitz.open(stream=content, filetype="pdf"), 1)]
+            import pytesseract
+
+            have = pytesseract.get_languages()
+        except Exception as e:  # noqa: BLE001
+            return [f"Tesseract not found or not configured: {e}. Install with: sudo apt install tesseract-ocr"]
+        return [f"Tesseract language '{x}' not installed. Install with: sudo apt install tesseract-ocr-{x}" for x in self.languages.split("+") if x not in have]
+
+    def __call__(self, content: bytes) -> Iterator[tuple[int, str, float | None]]:
+        import fitz
+        import pytesseract
+        from PIL import Image
 
+        for i, page in enumerate(fitz.open(stream=content, filetype="pdf"), 1):
+            shot = page.get_pixmap(matrix=fitz.Matrix(self.dpi / 72, self.dpi / 72))
+            image = Image.frombytes("RGB", (shot.width, shot.height), shot.samples)
+            words = pytesseract.image_to_data(image, lang=self.languages, output_type=pytesseract.Output.DICT)
+            yield i, pytesseract.image_to_string(image, lang=self.languages), word_confidence(words.get("conf", []))
 
-def extract(spark: SparkSession, paths: list[str] | str, *, force_ocr: bool = False, format_override: str | None = None, pdf_reader: Reader | None = None, ocr_reader: Reader | None = None) -> DataFrame:
-    """One row per file: path, name, format, size, method, pages, full text, confidence, flags and warnings."""
+
+def word_confidence(values: list) -> float:
+    """extraction.word_confidence for the words of one page."""
+    whole = [int(v) for v in map(str, values) if re.fullmatch(r"-*\d+", v) and v.count("-") < 2 and int(v) > 0]
+    return round(sum(whole) / len(whole) / 100, 3) if whole else 0.0
+
+
+def supported_formats(format_: str | None = None) -> dict[str, tuple[str, ...]]:
+    """The methods by which files of each format are read."""
+    methods = {"pdf": ("native_pdf", "ocr"), "docx": ("docx_parse",), "txt": ("plain_text",)}
+    return methods if format_ is None else {format_: methods[format_]}
+
+
+def extract(
+    spark: SparkSession, paths: list[str] | str, *, force_ocr: bool = False, format_override: str | None = None, pdf_reader: Reader | None = None, second_reader: Reader | None = None,
+    ocr_reader: Reader | None = None, languages: str = LANGUAGES, dpi: int = DPI,
+) -> DataFrame:
+    """One row per file: path, name, format, size, method, pages, full text, confidence, flags and warnings.
+
+    One pass over the files and one exchange by path. The OCR reader is only built where a file needs it.
+    """
     paths = [paths] if isinstance(paths, str) else paths
     check_paths(paths, format_override)
-    files = read_files(spark, paths)
-    if format_override:
-        files = files.withColumn("format", F.lit(format_override))
-    parts = [text_pages(files).withColumn("method", F.lit("plain_text")), read_pages(files, "docx", _read_docx).withColumn("method", F.lit("docx_parse"))]
-    kinds = {extraction.FORMATS.get(os.path.splitext(p)[1].lower()) for p in paths} | {format_override}
-    if "pdf" in kinds:
-        native, ocr = pdf_reader or native_pdf_reader(), ocr_reader
-        if not force_ocr:
-            if native is None:
-                raise ImportError("PDF files need a page reader: install a PDF library or pass pdf_reader")
-            parts.append(read_pages(files, "pdf", native).withColumn("method", F.lit("native_pdf")))
-        if ocr is not None:
-            parts.append(read_pages(files, "pdf", ocr).withColumn("method", F.lit("ocr")))
-        elif force_ocr:
-            raise ImportError("OCR needs a page reader: pass ocr_reader")
-    pages = parts[0]
-    for p in parts[1:]:
-        pages = pages.unionByName(p)
-    flagged = extraction.page_table(pages.filter("page_number is not null"))
-    docs = extraction.documents(flagged.withColumn("doc_id", F.struct("path", "method")))
-    nested = flagged.groupBy("path", "method").agg(F.sort_array(F.collect_list(F.struct("page_number", "text", "confidence", "has_arabic", "has_french"))).alias("pages"))
-    said = pages.filter("warning is not null").groupBy("path", "method").agg(F.sort_array(F.collect_set("warning")).alias("_said"))
-    rows = pages.select("path", "method").distinct().join(docs.select("doc_id.*", "*").drop("doc_id"), ["path", "method"], "left").join(nested, ["path", "method"], "left").join(said, ["path", "method"], "left")
-    if not force_ocr:
-        # A scanned document takes its OCR text where that is longer.
-        length = F.length(F.coalesce("full_text", F.lit("")))
-        best = rows.groupBy("path").agg(F.max(F.when(F.col("method") != "ocr", F.coalesce("is_scanned", F.lit(False)))).alias("_scanned"), F.max(F.when(F.col("method") == "ocr", length)).alias("_ocr"), F.max(F.when(F.col("method") != "ocr", length)).alias("_native"))
-        use = F.coalesce(F.col("_scanned") & (F.col("_ocr") > F.col("_native")), F.lit(False))
-        rows = rows.join(best, "path").filter((F.col("method") == "ocr") == use)
-    rows = rows.join(files.select("path", "length", "format"), "path")
-    empty = F.array().cast("array<string>")
-    return rows.select(
-        F.col("path").alias("file_path"), F.regexp_extract("path", r"([^/]+)\z", 1).alias("file_name"), F.col("format").alias("file_format"), F.col("length").alias("file_size_bytes"),
-        F.col("method").alias("extraction_method"), F.coalesce("total_pages", F.lit(0)).alias("total_pages"), F.coalesce("pages", F.array()).alias("pages"), F.coalesce("full_text", F.lit("")).alias("full_text"),
-        "avg_confidence", F.coalesce(F.when(F.col("method") == "native_pdf", F.col("is_scanned")).otherwise(F.col("method") == "ocr"), F.lit(False)).alias("is_scanned"), F.coalesce("has_arabic_content", F.lit(False)).alias("has_arabic_content"),
-        F.coalesce("has_french_content", F.lit(False)).alias("has_french_content"), F.concat(F.coalesce("_said", empty), F.when(F.col("method") == "native_pdf", F.coalesce("warnings", empty)).otherwise(empty)).alias("warnings"),
+    by_kind: dict[str, list[str]] = {}
+    for path in paths:
+        by_kind.setdefault(format_override or extraction.FORMATS[os.path.splitext(path)[1].lower()], []).append(path)
+
+    def pdf(content: bytes) -> tuple[str, bool, list[tuple], list[str]]:
+        installed = [] if pdf_reader is not None else native_pdf_readers()
+        native = pdf_reader or (installed or [None])[0]
+        if native is None and not force_ocr:
+            raise ImportError("PDF files need a page reader: install a PDF library or pass pdf_reader")
+        return read_pdf(content, native, second_reader or (installed[1] if len(installed) > 1 else None), lambda: ocr_reader or TesseractReader(languages, dpi), force_ocr=force_ocr)
+
+    readers = {"txt": text_pages, "docx": lambda files: _rows(files, read_docx), "pdf": lambda files: _rows(files, pdf)}
+    if "pdf" in by_kind and not force_ocr and pdf_reader is None and not native_pdf_readers():
+        raise ImportError("PDF files need a page reader: install a PDF library or pass pdf_reader")
+    pages = None
+    for kind, names in by_kind.items():
+        if kind not in readers:
+            raise ValueError(f"No reader for format: {kind}")
+        found = readers[kind](read_files(spark, names).withColumn("format", F.lit(kind)))
+        pages = found if pages is None else pages.unionByName(found)
+    flagged = extraction.page_table(pages.withColumnRenamed("path", "doc_id"))
+    page = F.struct("page_number", "text", "confidence", "has_arabic", "has_french")
+    more = {
+        "pages": F.sort_array(F.collect_list(F.when(F.col("page_number").isNotNull(), page))), "said": F.flatten(F.collect_list("warnings")),
+        "method": F.max("method"), "scanned": F.max("scanned"), "size": F.max("length"), "kind": F.max("format"),
+    }
+    docs = extraction.documents(flagged, more)
+    return docs.select(
+        F.col("doc_id").alias("file_path"), F.regexp_extract("doc_id", r"([^/]+)\z", 1).alias("file_name"), F.col("kind").alias("file_format"), F.col("size").alias("file_size_bytes"),
+        F.col("method").alias("extraction_method"), "total_pages", "pages", "full_text", "avg_confidence", F.col("scanned").alias("is_scanned"), "has_arabic_content", "has_french_content", F.col("said").alias("warnings"),
     )

@@ -2,6 +2,7 @@
 
 import io
 import json
+import uuid
 import zipfile
 
 import pytest
@@ -61,20 +62,60 @@ def test_word_files(spark, tmp_path):
     assert found["bad.docx"].total_pages == 0 and found["bad.docx"].warnings == ["File is not a valid .docx package."]
 
 
-def test_pdf_with_readers(spark, tmp_path):
+def logged(folder, name, pages):
+    """A reader that leaves a file in the folder for each call."""
+
+    def read(content):
+        (folder / f"{name}-{uuid.uuid4().hex}").touch()
+        yield from pages(content)
+
+    return read
+
+
+def test_pdf_files_are_read_once(spark, tmp_path):
     (tmp_path / "scan.pdf").write_bytes(b"scan")
     (tmp_path / "text.pdf").write_bytes(b"text")
-    native = lambda content: [(1, "x" if content == b"scan" else "mot " * 40, None), (2, "", None)]
-    ocr = lambda content: [(1, "lu par la machine", 0.9), (2, "suite", 0.8)]
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    native = logged(calls, "native", lambda content: [(1, "x" if content == b"scan" else "mot " * 40, None), (2, "", None)])
+    ocr = logged(calls, "ocr", lambda content: [(1, "lu par la machine", 0.9), (2, "suite", 0.8)])
     paths = [str(tmp_path / n) for n in ("scan.pdf", "text.pdf")]
     found = {r.file_name: r for r in files.extract(spark, paths, pdf_reader=native, ocr_reader=ocr).collect()}
+    assert sorted(p.name.split("-")[0] for p in calls.iterdir()) == ["native", "native", "ocr"]
     assert (found["scan.pdf"].extraction_method, found["scan.pdf"].full_text, found["scan.pdf"].is_scanned) == ("ocr", "lu par la machine\n\nsuite", True)
     assert found["scan.pdf"].avg_confidence == pytest.approx(0.85)
-    assert (found["text.pdf"].extraction_method, found["text.pdf"].is_scanned) == ("native_pdf", False)
+    assert (found["text.pdf"].extraction_method, found["text.pdf"].is_scanned, found["text.pdf"].total_pages) == ("native_pdf", False, 2)
     forced = files.extract(spark, paths[1], force_ocr=True, ocr_reader=ocr).first()
     assert forced.extraction_method == "ocr" and forced.is_scanned
 
 
+def test_pdf_faults(spark, tmp_path):
+    for name in ("broken", "scan", "poor"):
+        (tmp_path / f"{name}.pdf").write_bytes(name.encode())
+
+    def native(content):
+        if content == b"broken":
+            yield 1, "gardé " * 20, None
+            raise OSError("page 2")
+        yield from [(1, "court", None)] if content == b"scan" else [(1, "a" * 30, None), (2, "b", None), (3, "c" * 60, None)][: 0 if content == b"poor" else 3]
+
+    def ocr(content):
+        raise RuntimeError("no engine")
+        yield
+
+    second = lambda content: [(1, "second lecteur", None)]
+    paths = [str(tmp_path / f"{n}.pdf") for n in ("broken", "scan", "poor")]
+    found = {r.file_name: r for r in files.extract(spark, paths, pdf_reader=native, second_reader=second, ocr_reader=ocr).collect()}
+    assert found["broken.pdf"].total_pages == 1 and found["broken.pdf"].warnings == ["PDF extraction error: page 2"]
+    scan = found["scan.pdf"]
+    assert scan.full_text == "court" and scan.is_scanned and [w[:25] for w in scan.warnings] == ["Document appears to be sc", "OCR extraction error: no "]
+    assert found["poor.pdf"].full_text == "second lecteur" and found["poor.pdf"].warnings == ["PyMuPDF extraction poor, falling back to pdfplumber."]
+    missing = files.extract(spark, paths[1], pdf_reader=native).first()  # no OCR library here: the native text stands
+    assert missing.extraction_method == "native_pdf" and len(missing.warnings) == 2 and missing.warnings[1].startswith("OCR")
+    assert files.TesseractReader().languages == "fra+ara" and files.word_confidence([-1, "96", 50, "95.5", "x"]) == 0.73
+    assert set(files.supported_formats()) == {"pdf", "docx", "txt"}
+
+
 def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([(1, "é", None)], "doc_id long, t string, n string")
     sinks.write_pretty(rows, str(tmp_path / "o.json"))
