@@ -89,12 +89,22 @@ def assemble(headers: DataFrame, replies: DataFrame, *, checked_at: Column | Non
     return rows.select("doc_id", "ord", "article_id", *ARTICLE_COLUMNS)
 
 
-def parse_results(articles: DataFrame, rough: DataFrame) -> DataFrame:
-    """Per document: total_articles, rough_chunks, llm_calls (one for the header, one per rough article), failed, warnings."""
-    done = articles.groupBy("doc_id").agg(F.count("*").alias("total_articles"))
-    missing = rough.join(articles.select("doc_id", "ord"), ["doc_id", "ord"], "left_anti").groupBy("doc_id").agg(
-        F.transform(F.sort_array(F.collect_list("ord")), lambda o: F.format_string("Article %d: extraction failed, skipped.", o)).alias("warnings")
-    )
-    found = rough.groupBy("doc_id").agg(F.count("*").alias("rough_chunks")).join(done, "doc_id", "left").join(missing, "doc_id", "left")
-    total = F.coalesce("total_articles", F.lit(0))
-    return found.select("doc_id", total.alias("total_articles"), "rough_chunks", (F.col("rough_chunks") + 1).alias("llm_calls"), (F.col("rough_chunks") - total).alias("failed"), F.coalesce("warnings", F.array().cast("array<string>")).alias("warnings"))
+NO_ARTICLES = "No articles found in document text."
+
+
+def parse_results(articles: DataFrame, rough: DataFrame, documents: DataFrame | None = None) -> DataFrame:
+    """Per document: total_articles, rough_chunks, llm_calls (one for the header, one per rough article), failed, warnings.
+
+    Documents are those of `documents` (doc_id), else those with a rough article; one without articles has a warning.
+    Articles and rough articles meet in one aggregation by document.
+    """
+    rows = rough.select("doc_id", "ord").join(articles.select("doc_id", "ord", F.lit(True).alias("_done")), ["doc_id", "ord"], "left")
+    failed = F.transform(F.sort_array(F.collect_list(F.when(F.col("_done").isNull(), F.col("ord")))), lambda o: F.format_string("Article %d: extraction failed, skipped.", o))
+    found = rows.groupBy("doc_id").agg(F.count("_done").alias("total_articles"), F.count("*").alias("rough_chunks"), failed.alias("warnings"))
+    if documents is not None:
+        found = documents.select("doc_id").distinct().join(found, "doc_id", "left")
+    total, chunks = F.coalesce("total_articles", F.lit(0)), F.coalesce("rough_chunks", F.lit(0))
+    return found.select(
+        "doc_id", total.alias("total_articles"), chunks.alias("rough_chunks"), (chunks + 1).alias("llm_calls"), (chunks - total).alias("failed"),
+        F.coalesce("warnings", F.array(F.lit(NO_ARTICLES))).alias("warnings"),
+    )

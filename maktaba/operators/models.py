@@ -15,15 +15,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from . import assembly, headers
 
 Client = Callable[[str, float], tuple[str, int]]
 CORRECTION = {
     "french": "Corrige les erreurs de numérisation du texte juridique suivant, sans rien ajouter, traduire ni résumer. Rends le texte corrigé seul.\n\n{chunk}",
     "arabic": "صحح أخطاء المسح الضوئي في النص القانوني التالي دون إضافة أو ترجمة أو تلخيص. أعد النص المصحح فقط.\n\n{chunk}",
 }
+HEADER = (
+    "Voici le début d'un texte juridique. Rends un seul objet JSON, sans commentaire, qui commence par { et a les champs :\n"
+    + ", ".join(f"{n} ({k})" for n, k in (f.split(" ") for f in headers.REPLY.split(", ")))
+    + ".\nDates en AAAA-MM-JJ ; null pour ce que le texte ne dit pas ; toutes les institutions nommées dans institutions.\n\n{header_text}"
+)
 ARTICLE = (
     "Texte : {law_type} n° {law_number} ({year}). Chapitre : {chapter}. Section : {section}.\n"
-    "Rends un objet JSON avec les champs de la table des articles pour l'article suivant, sans commentaire.\n\n{article_text}"
+    "Rends un seul objet JSON, sans commentaire, qui commence par { et a les champs :\n"
+    + ", ".join(f"{n} ({k})" for n, k in (f.split(" ") for f in assembly.ARTICLE_REPLY.split(", ")))
+    + ".\ncontent_french et content_arabic sont obligatoires : traduis le texte qui manque. business_impact et ambiguity_level : LOW, MEDIUM ou HIGH. null pour ce que l'article ne dit pas.\n\n{article_text}"
 )
 
 
@@ -49,34 +57,57 @@ def article_prompts(articles: DataFrame, headers: DataFrame, template: str = ART
     return rows.select("doc_id", "ord", prompt.alias("prompt"))
 
 
+def header_prompts(headers_: DataFrame, template: str = HEADER) -> DataFrame:
+    """doc_id and prompt for each document, from its preamble_text."""
+    return headers_.select("doc_id", _fill(template, header_text=F.coalesce("preamble_text", F.lit(""))).alias("prompt"))
+
+
+def chunk_prompts(chunks: DataFrame, templates: dict[str, str] = CORRECTION) -> DataFrame:
+    """doc_id, lang, chunk_no and prompt for each chunk of correction.chunk_table."""
+    return chunks.select("doc_id", "lang", "chunk_no", correction_prompt(F.col("original"), F.col("lang"), templates).alias("prompt"))
+
+
 def is_available(names: list[str], model: str) -> bool:
     """Whether a listed model's name contains the wanted one."""
     return any(model in n for n in names)
 
 
+class _Line:
+    """One thread that calls the client for a partition. A late call keeps its thread until the client gives up, which got
+    the same timeout; the next call takes a new one."""
+
+    def __init__(self, client: Client, timeout: float):
+        self.client, self.timeout, self.pool = client, timeout, None
+
+    def call(self, prompt: str) -> tuple[str, int]:
+        self.pool = self.pool or ThreadPoolExecutor(1)
+        try:
+            return self.pool.submit(self.client, prompt, self.timeout).result(self.timeout)
+        except Late:
+            self.pool.shutdown(wait=False, cancel_futures=True)
+            self.pool = None
+            raise
+
+
 def ask(prompts: DataFrame, client: Client, *, timeout: float = 180.0, attempts: int = 3) -> DataFrame:
     """prompts with raw_reply and eval_count. A late, failing or empty call is tried again, then gives null and 0."""
     names = [c for c in prompts.columns if c != "prompt"]
     schema = ", ".join(f"{c} {prompts.schema[c].dataType.simpleString()}" for c in names) + ", raw_reply string, eval_count int"
 
-    def one(prompt: str) -> tuple[str | None, int]:
+    def one(prompt: str, line: _Line) -> tuple[str | None, int]:
         for _ in range(attempts):
-            pool = ThreadPoolExecutor(1)
             try:
-                reply, count = pool.submit(client, prompt, timeout).result(timeout)
+                reply, count = line.call(prompt)
                 if reply and reply.strip():
                     return reply, int(count or 0)
-            except Late:
-                continue
-            except Exception:  # noqa: BLE001  any failure of the client counts as no answer
+            except Exception:  # noqa: BLE001  any failure of the client, lateness included, counts as no answer
                 continue
-            finally:
-                pool.shutdown(wait=False, cancel_futures=True)
         return None, 0
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        line = _Line(client, timeout)
         for batch in batches:
-            found = [one(p) for p in batch["prompt"]]
+            found = [one(p, line) for p in batch["prompt"]]
             yield batch[names].assign(raw_reply=[r for r, _ in found], eval_count=pd.array([n for _, n in found], dtype="int32"))
 
     return prompts.mapInPandas(run, schema)

@@ -6,6 +6,7 @@ characters. Where SQL has no equal (Unicode decomposition, lenient JSON), the qu
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import replies as R
 from ..functions import text as T
 from ..operators import assembly, cleaning, correction, extraction, headers, models, structure
+from ..session import stored
 from ..sources import sinks
 from .laws import LAWS_SQL, laws
 
@@ -491,7 +493,11 @@ def article_log(spark, sf_dir):
     return sinks.log_line(_assembled(spark, sf_dir))
 
 
-_PROMPT = "'Texte : ' || coalesce(law_type, 'Unknown') || ' n° ' || coalesce(law_number, 'Unknown') || ' (' || coalesce(CAST(year AS STRING), 'Unknown') || '). Chapitre : ' || coalesce(chapter_detected, 'Non détecté') || '. Section : ' || coalesce(section_detected, 'Non détectée') || '.' || chr(10) || 'Rends un objet JSON avec les champs de la table des articles pour l''article suivant, sans commentaire.' || chr(10) || chr(10) || raw_text"
+_CELLS = {
+    "law_type": "coalesce(law_type, 'Unknown')", "law_number": "coalesce(law_number, 'Unknown')", "year": "coalesce(CAST(year AS STRING), 'Unknown')",
+    "chapter": "coalesce(chapter_detected, 'Non détecté')", "section": "coalesce(section_detected, 'Non détectée')", "article_text": "raw_text",
+}
+_PROMPT = "'" + re.sub(r"\{(\w+)\}", lambda m: f"' || {_CELLS[m[1]]} || '", models.ARTICLE.replace("'", "''")) + "'"
 
 
 @query("article_prompts", on_laws(f"SELECT doc_id, ord, {_PROMPT} AS prompt FROM articles JOIN head USING (doc_id)", f"{_ARTICLES}, {_HEADERS}"))
@@ -597,14 +603,14 @@ def preview(spark, sf_dir):
 
 @query("correction_layer")
 def correction_layer(spark, sf_dir):
-    cleaned = cleaning.rule_clean(laws(spark, sf_dir)).drop("text")
+    cleaned = stored(cleaning.rule_clean(laws(spark, sf_dir)), "ruled")
     chunks = correction.chunk_table(cleaned)
     fixed = F.when(F.col("chunk_no") % 3 == 0, F.concat(F.lit("```\n"), F.regexp_replace("original", " mot", " mots"), F.lit("\n```"))).when(F.col("chunk_no") % 7 == 1, F.lit("Voici")).otherwise(F.col("original"))
-    return correction.clean_with_replies(cleaned, chunks.select("doc_id", "lang", "chunk_no", fixed.alias("raw_reply"), F.lit(0).alias("eval_count")))
+    replies = stored(chunks.select("doc_id", "lang", "chunk_no", fixed.alias("raw_reply"), F.lit(0).alias("eval_count")), "replies")
+    return correction.clean_with_replies(cleaned, replies).drop("timestamp")
 
 
 @query("envelopes")
 def envelopes(spark, sf_dir):
     pages = _page_documents(spark, sf_dir).select("doc_id", "full_text", "total_pages", "is_scanned")
-    cleaned = cleaning.rule_clean(laws(spark, sf_dir)).drop("text")
-    return sinks.envelope(2, pages, cleaned)
+    return sinks.envelope(2, pages, correction.clean_with_replies(cleaning.rule_clean(laws(spark, sf_dir)), None).drop("timestamp"))

@@ -26,6 +26,15 @@ def write_pretty(df: DataFrame, path: str | None, *, limit: int = 100_000) -> st
     return None
 
 
+def write_texts(df: DataFrame, path: str, *, limit: int = 100_000) -> None:
+    """The JSON texts of the only column in one local file: the object itself if there is one, else an array of all."""
+    rows = [json.loads(r[0]) for r in df.limit(limit + 1).collect()]
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} rows; use write_json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(rows[0] if len(rows) == 1 else rows, f, ensure_ascii=False, indent=2)
+
+
 def preview(text: Column, shown: int = 1500) -> Column:
     """The first characters, and how many more there are."""
     more = F.length(text) - shown
@@ -38,7 +47,7 @@ def envelope(phase: int, extraction: DataFrame, cleaning: DataFrame | None = Non
     for name, table in (("cleaning", cleaning), ("parsing", parsing)):
         if table is not None:
             out = out.join(table.select("doc_id", F.struct(*[c for c in table.columns if c != "doc_id"]).alias(name)), "doc_id", "left")
-    return out.select("doc_id", F.to_json(F.struct(F.lit(phase).alias("phase"), *[c for c in out.columns if c != "doc_id"])).alias("envelope"))
+    return out.select("doc_id", F.to_json(F.struct(F.lit(phase).alias("phase"), *[c for c in out.columns if c != "doc_id"]), {"ignoreNullFields": "false"}).alias("envelope"))
 
 
 def log_line(articles: DataFrame) -> DataFrame:

@@ -176,7 +176,7 @@ def test_validator(spark):
 
 
 def test_correction_layer(spark):
-    cleaned = cleaning.rule_clean(spark.createDataFrame([(1, "Le mot ,juste.\n&@#"), (2, None)], "doc_id long, text string")).drop("text")
+    cleaned = cleaning.rule_clean(spark.createDataFrame([(1, "Le mot ,juste.\n&@#"), (2, None)], "doc_id long, text string"))
     reply = spark.createDataFrame([(1, "french", 1, "```\nLe mot exact.\n```", 0)], "doc_id long, lang string, chunk_no int, raw_reply string, eval_count int")
     a, b = correction.clean_with_replies(cleaned, reply).orderBy("doc_id").collect()
     assert (a.cleaned_text, a.chunks_processed, a.chunks_corrected_by_llm, a.words_corrected, len(a.changes)) == ("Le mot exact.", 1, 1, 4, 2)

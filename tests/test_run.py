@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from maktaba.__main__ import main
 from maktaba.operators import models
-from maktaba.plans.run import run
+from maktaba.plans.run import Model, run
 
 LAW = "Loi n° 66-27 du 30 avril 1966\nCHAPITRE PREMIER - TITRE\nArticle premier.- Le mot ,juste.\n&@#\nArticle 2.- Fin du texte.\n"
 
@@ -33,9 +33,41 @@ def test_command_line(spark, tmp_path, capsys):
     assert main([str(path), "--phase", "2", "--text-only", "--no-llm", "--output", str(out)]) == 0
     assert "Le mot, juste." in capsys.readouterr().out
     whole = json.loads(spark.read.json(str(out)).first().envelope)
-    assert whole["phase"] == 2 and whole["cleaning"]["noise_lines_removed"] == 1
+    assert whole["phase"] == 2 and whole["cleaning"]["lines_removed"] == 1 and whole["cleaning"]["warnings"] == []
     assert main([str(tmp_path / "missing.txt")]) == 1 and "not found" in capsys.readouterr().err
     assert main([str(path), "--articles-only"]) == 0 and "Article 2." in capsys.readouterr().out
+    file = tmp_path / "all.json"
+    assert main([str(path), "--client", "tests.test_run:answer", "--timeout", "9", "-o", str(file)]) == 0
+    assert "── Article 2 (order: 2) ──" in capsys.readouterr().out
+    whole = json.loads(file.read_text(encoding="utf-8"))
+    assert whole["phase"] == 3 and whole["parsing"]["total_articles"] == 2 and whole["parsing"]["model_used"] == "gemma3:4b" and whole["parsing"]["header"]["institution_primary"] == "A"
+    assert whole["cleaning"]["llm_available"] and whole["parsing"]["articles"][1]["content_french"] == "Fin du texte."
+    file = tmp_path / "articles.json"
+    assert main([str(path), "--client", "tests.test_run:answer", "--articles-only", "-o", str(file)]) == 0
+    assert [a["article_order"] for a in json.loads(file.read_text(encoding="utf-8"))] == [1, 2]
+
+
+def answer(prompt, timeout):
+    """A model client for the tests."""
+    if "institutions" in prompt:
+        return '{"law_type": "Loi", "law_number": "66-27", "institutions": ["A", "B"]}', 5
+    if "content_french" in prompt:
+        n = 1 if "Article premier" in prompt else 2
+        return json.dumps({"article_number": "premier" if n == 1 else "2", "article_order": n, "content_french": "Le mot, juste." if n == 1 else "Fin du texte.", "summary_french": "s"}), 7
+    return prompt.split("\n\n", 1)[1], 3
+
+
+def test_model_and_documents_without_articles(spark, tmp_path):
+    for name, text in (("law", LAW), ("none", "rien du tout")):
+        (tmp_path / f"{name}.txt").write_text(text, encoding="utf-8")
+    paths = [str(tmp_path / f"{n}.txt") for n in ("law", "none")]
+    found = run(spark, paths, model=Model("m", answer))
+    results = {r.doc_id.rsplit("/", 1)[1]: r for r in found.results.collect()}
+    assert (results["law.txt"].total_articles, results["law.txt"].llm_calls, results["law.txt"].warnings) == (2, 3, [])
+    assert (results["none.txt"].total_articles, results["none.txt"].llm_calls, results["none.txt"].warnings) == (0, 1, ["No articles found in document text."])
+    plain = run(spark, paths[:1], 2).cleaning
+    assert plain.columns == found.cleaning.columns and plain.first().warnings == ["Ollama not available. Skipping LLM correction."] and not plain.first().llm_available
+    assert run(spark, paths[:1], 2, skip_llm=True).cleaning.first().warnings == []
 
 
 def test_prompts_and_client(spark):
