@@ -1,8 +1,9 @@
 """Quality classifier: nearest-neighbour voting among labelled latent-semantic vectors.
 
-A document's terms are its byte trigrams, hashed into TERMS - len(EXTRA) cells, and a few shape terms (EXTRA). Sublinear
-weights times inverse document frequencies, of unit length, go through a truncated singular value decomposition that is
-learnt from at most `sample` labelled rows (those with the least hash of their id). Their vectors, labels and the
+A document's terms are its byte trigrams, and the shapes of its words and of pairs of words in a row: a shape is the kinds
+of characters in a word, and whether the word is the one before it again. Both are hashed into TERMS cells and weighed
+alike: sublinear weights times inverse document frequencies, of unit length, go through a truncated singular value
+decomposition that is learnt from at most `sample` labelled rows (those with the least hash of their id). Their vectors, labels and the
 projection are broadcast: at most sample * rank + TERMS * rank floats, whatever the corpus. Each document is compared
 with every labelled vector by exact cosine products, a block of documents at a time, and the labels of the `neighbours`
 nearest count by their similarity.
@@ -22,12 +23,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix
+from .common import RangeHash, mix
 
 TERMS = 2048
-EXTRA = ("upper", "symbol", "repeat", "bang", "digit", "pipe")
-#: How much a shape term weighs beside the trigrams of a document, which have unit length together.
-EXTRA_WEIGHT = 1.5
+#: Cells of word shapes among the terms; the others are for trigrams.
+SHAPES = 512
+#: Kinds of bytes: other, capital, letter (all beyond ASCII too), digit, punctuation, symbol.
+_KINDS = np.full(256, 5, np.int64)
+_KINDS[65:91], _KINDS[97:123], _KINDS[128:], _KINDS[48:58], _KINDS[[46, 44, 59, 58, 33, 63, 39, 34, 45, 40, 41]] = 1, 2, 2, 3, 4
+_WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Changes of kind that a shape tells apart.
+RUNS = 6
 BLOCK = 512
 #: Rounds of subspace iteration.
 ROUNDS = 8
@@ -50,25 +56,34 @@ def terms(text: str | None) -> np.ndarray:
         return out
     padded = np.concatenate([data, np.full(2, 32, np.uint8)]).astype(np.uint64)
     code = padded[:-2] * np.uint64(65536) + padded[1:-1] * np.uint64(256) + padded[2:]
-    cells = TERMS - len(EXTRA)
+    cells = TERMS - SHAPES
     out[:cells] = np.log1p(np.bincount((mix(code) % np.uint64(cells)).astype(np.int64), minlength=cells))
-    words = data.tobytes().split()
-    bytes_of = np.bincount(data, minlength=256)
-    letters = max(1, int(bytes_of[65:91].sum() + bytes_of[97:123].sum()))
-    n = max(1, len(words))
-    again = sum(a == b for a, b in zip(words, words[1:]))
-    symbols = sum(int(bytes_of[c]) for c in b"#*$%&<>")
-    shares = (bytes_of[65:91].sum() / letters, symbols / n, again / n, bytes_of[33] / n, bytes_of[48:58].sum() / n, bytes_of[124] / n)
-    out[cells:] = np.minimum(1, np.sqrt(np.array(shares, np.float64)))
+    code = _shapes(data)
+    if len(code):
+        both = np.concatenate([code, code[:-1] * np.uint64(1_000_003) + code[1:] + np.uint64(7)])
+        out[cells:] = np.log1p(np.bincount((mix(both) % np.uint64(SHAPES)).astype(np.int64), minlength=SHAPES))
     return out
 
 
+def _shapes(data: np.ndarray) -> np.ndarray:
+    """A number for the shape of each word: the kinds of its first RUNS runs of characters, and whether it repeats the word before."""
+    inside = ~_WHITE[data]
+    starts = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
+    ends = np.flatnonzero(inside & ~np.concatenate([inside[1:], [False]])) + 1
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    kinds = np.where(inside, _KINDS[data], -1)
+    runs = np.flatnonzero(inside & np.concatenate([[True], kinds[1:] != kinds[:-1]]))
+    word = np.searchsorted(starts, runs, side="right") - 1
+    nth = np.arange(len(runs)) - np.searchsorted(runs, starts)[word]
+    runs, word, nth = runs[nth < RUNS], word[nth < RUNS], nth[nth < RUNS]
+    code = np.bincount(word, (kinds[runs] + 1) * 7.0**nth, len(starts)).astype(np.uint64)
+    known = RangeHash(data)(starts, ends)
+    return code * np.uint64(2) + np.concatenate([[False], known[1:] == known[:-1]]).astype(np.uint64)
+
+
 def _weigh(x: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    cells = TERMS - len(EXTRA)
-    x = x * idf
-    x[:, :cells] /= np.maximum(np.linalg.norm(x[:, :cells], axis=1, keepdims=True), 1e-9)
-    x[:, cells:] *= EXTRA_WEIGHT
-    return x
+    return _unit(x * idf)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -79,9 +94,7 @@ def fit(x: np.ndarray, y: np.ndarray, *, rank: int = 48) -> Model:
     """The model of term weights x and labels y: right singular vectors by subspace iteration, which holds little beside x."""
     if not len(x):
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, rank), np.float32), np.zeros((0, rank), np.float32), np.zeros(0), 0.5)
-    cells = TERMS - len(EXTRA)
-    idf = np.ones(TERMS, np.float32)
-    idf[:cells] = np.log((1 + len(x)) / (1 + (x[:, :cells] > 0).sum(0))) + 1
+    idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 1).astype(np.float32)
     weighed = _weigh(x, idf)
     basis = np.random.default_rng(0).standard_normal((TERMS, rank + 16)).astype(np.float32)
     for _ in range(ROUNDS):
