@@ -12,9 +12,12 @@ documents and are judged on the input. The steps:
 4. Where a smaller document has the trigger but not the phrase (at the ends of a repeat), the phrases themselves meet. A
    suffix array of these phrases, by prefix doubling up to LENGTH bytes, puts equal strings side by side; the least
    document of each run decides for each string of each phrase.
+   A trigger with more than HOT such phrases is no such group: its strings meet one by one, by the range of their own
+   hashes, so that no task holds all that surrounds a common passage.
 5. Each pack gathers the verdicts on its phrases, and the union of covered strings is cut from each text.
 
-Phrases count as equal by 80 bits of two hashes; strings in step 4 are compared exactly.
+Phrases count as equal by 80 bits of two hashes; strings in step 4 are compared exactly, those of hot triggers by
+80 bits.
 
 Cases: a null text is empty; rows with equal ids don't remove from each other; a null id counts as larger than all
 others, so that its text is judged and never a reason; long documents are parsed in chunks that overlap by LENGTH - 1
@@ -40,7 +43,9 @@ K = 16
 WINDOW = LENGTH - K + 1
 #: In step 4 a partition's triggers fall into so many ranges; a task holds the phrases of one range at a time.
 RANGES = 4
-SAME, ASK, SOURCE = 1, 2, 3  # states of a phrase: covered whole; strings to be looked up; only looked at
+#: Phrases of one trigger that may meet in one range.
+HOT = 2048
+SAME, ASK, SOURCE, SPREAD = 1, 2, 3, 4  # states of a phrase: covered whole; strings to be looked up; only looked at; strings looked up by themselves
 
 
 def window_minima(hashes: np.ndarray, window: int, block: int = 1 << 15) -> np.ndarray:
@@ -128,6 +133,41 @@ class Phrases:
         return np.where(mine, out[self.lead], SAME).astype(np.uint8)
 
 
+class Strings:
+    """The strings of the phrases of a chunk that are in state SPREAD: first byte, document, and 80 bits that stand for the string."""
+
+    def __init__(self, p: Phrases, state: np.ndarray):
+        of = np.flatnonzero(state == SPREAD)
+        phrase = np.repeat(of, p.count[of])
+        self.start = p.start[phrase] + np.arange(len(phrase)) - np.repeat(np.cumsum(p.count[of]) - p.count[of], p.count[of])
+        self.doc = p.doc[phrase]
+        self.hash = RangeHash(p.data)(self.start, self.start + LENGTH) if len(of) else np.zeros(0, np.uint64)
+        self.more = ((p.trig[phrase] + (p.trigger[phrase] - self.start).astype(np.uint64)) & np.uint64(0xFFFF)).astype("<u2")
+        # Of equal strings in the chunk the one of the smallest document speaks for all.
+        order = np.lexsort((self.doc, self.more, self.hash))
+        h, m = self.hash[order], self.more[order]
+        lead = np.ones(len(order), bool)
+        lead[1:] = (h[1:] != h[:-1]) | (m[1:] != m[:-1])
+        self.lead = np.empty(len(order), np.int64)
+        self.lead[order] = order[np.flatnonzero(lead)[np.cumsum(lead) - 1]] if len(order) else 0
+        self.sent = np.flatnonzero(self.lead == np.arange(len(order)))
+
+    def dealt(self, ranges: int) -> list[tuple[int, np.ndarray]]:
+        """The strings that are sent, by range of their hash; the numbers of these ranges follow those of the triggers."""
+        bucket = (self.hash[self.sent] // np.uint64((1 << 64) // ranges + 1)).astype(np.int64) + ranges
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+        return [(int(bucket[part[0]]), self.sent[part]) for part in np.split(order, cuts) if len(part)]
+
+    def covered(self, parts: dict[int, bytes], ranges: int) -> np.ndarray:
+        """The first bytes of the strings that a smaller document has, from the answers by range."""
+        hit = np.zeros(len(self.start), bool)
+        for bucket, which in self.dealt(ranges):
+            if bucket in parts:
+                hit[which] = np.unpackbits(np.frombuffer(parts[bucket], np.uint8), count=len(which)).astype(bool)
+        return self.start[hit[self.lead] | (self.doc > self.doc[self.lead])]
+
+
 def chunks(docs: np.ndarray, offsets: np.ndarray, data: np.ndarray) -> Iterator[tuple[int, int, Phrases]]:
     """Number, first byte and parse of each chunk: the whole pack, or parts of one long document."""
     if len(data) <= 2 * PACK_BYTES:
@@ -208,6 +248,8 @@ def dictionary_states(packs: DataFrame, buckets: int) -> DataFrame:
         asked = np.zeros(group[-1] + 1, bool)
         asked[group[state == ASK]] = True
         state[(state == 0) & asked[group]] = SOURCE
+        crowded = np.bincount(group[state >= ASK], minlength=group[-1] + 1) > HOT
+        state[(state >= ASK) & crowded[group]] = SPREAD
         out = np.empty(len(state), np.uint8)
         out[order] = state
         ends = np.cumsum([n for *_, n in of])
@@ -252,16 +294,31 @@ def string_verdicts(states: DataFrame, buckets: int, ranges: int) -> DataFrame:
                         continue
                     state, rows = p.states(parts[number], buckets), []
                     for bucket, which in p.dealt(ranges):
-                        which = which[state[which] >= ASK]
+                        which = which[(state[which] == ASK) | (state[which] == SOURCE)]
                         if len(which):
                             phrases = b"".join(p.data[a:b].tobytes() for a, b in zip(p.start[which], p.end[which]))
                             rows.append((pack, number, bucket, p.doc[which].astype("<i8").tobytes(), (state[which] == ASK).tobytes(), p.count[which].astype(np.uint8).tobytes(), phrases))
+                    if (state == SPREAD).any():
+                        alone = Strings(p, state)
+                        for bucket, which in alone.dealt(ranges):
+                            rows.append((pack, number, bucket, alone.doc[which].astype("<i8").tobytes(), None, alone.more[which].tobytes(), alone.hash[which].astype("<u8").tobytes()))
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_bucket(batches):
-            yield answer(rows)
+            yield answer(rows) if rows[0]["bucket"] < ranges else answer_strings(rows)
+
+    def answer_strings(rows: list[dict]) -> pa.RecordBatch:
+        doc, more, hashes = (np.concatenate([np.frombuffer(r[c], kind) for r in rows]) for c, kind in (("docs", "<i8"), ("counts", "<u2"), ("phrases", "<u8")))
+        order = np.lexsort((doc, more, hashes))
+        h, m, d = hashes[order], more[order], doc[order]
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (m[1:] != m[:-1])])
+        hit = np.empty(len(order), bool)
+        hit[order] = d[np.flatnonzero(new)[np.cumsum(new) - 1]] < d
+        ends = np.cumsum([len(r["docs"]) // 8 for r in rows])
+        parts = [(r, hit[e - len(r["docs"]) // 8 : e]) for r, e in zip(rows, ends)]
+        return _answers([(r["pack"], r["chunk"], r["bucket"], np.packbits(x).tobytes()) for r, x in parts if x.any()])
 
     def answer(rows: list[dict]) -> pa.RecordBatch:
         of, docs, asked, counts, phrases = [], [], [], [], []
@@ -310,6 +367,10 @@ def covered_bytes(docs: np.ndarray, offsets: np.ndarray, data: np.ndarray, state
             if bucket in second.get(number, {}):
                 masks[which[state[which] == ASK]] = np.frombuffer(second[number][bucket], "<u8")
         masks = np.where(state == ASK, masks[p.lead], 0).astype(np.uint64)
+        if (state == SPREAD).any():
+            at = Strings(p, state).covered(second.get(number, {}), ranges)
+            np.add.at(step, base + at, 1)
+            np.add.at(step, base + at + LENGTH, -1)
         for k in range(WINDOW):
             at = np.flatnonzero(masks >> np.uint64(k) & np.uint64(1)) if masks.any() else []
             if len(at):

@@ -30,15 +30,32 @@ def some_texts(seed, n=40):
     return rows + [(3, rows[3][1]), (n, rows[5][1]), (n + 1, rows[5][1][10:]), (n + 2, None), (n + 3, ""), (None, rows[5][1]), (n + 4, "a" * 300), (n + 5, "a" * 120), (n + 6, "x" * 20 + shared[0][:49])]
 
 
-@pytest.mark.parametrize("pack", [suffix_dedup.PACK_BYTES, 64])
-def test_dedup_against_brute_force(texts, monkeypatch, pack):
+@pytest.mark.parametrize(("pack", "hot"), [(suffix_dedup.PACK_BYTES, suffix_dedup.HOT), (64, suffix_dedup.HOT), (suffix_dedup.PACK_BYTES, 1), (64, 0)])
+def test_dedup_against_brute_force(texts, monkeypatch, pack, hot):
     monkeypatch.setattr(suffix_dedup, "PACK_BYTES", pack)  # 64: chunks of single documents
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)  # 0 and 1: strings of all or most triggers meet by themselves
     rows = some_texts(1)
     found = suffix_dedup.dedup(texts(rows)).collect()
     assert sorted([(r.doc_id, r.n_bytes, bytes(r.kept)) for r in found], key=repr) == brute_removed(rows)
     assert all(sum(s.end - s.start for s in r.spans) == r.n_bytes - len(r.kept) for r in found)
 
 
+def test_dedup_of_a_passage_with_many_surroundings(texts, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT", 50)
+    rng = random.Random(8)
+    make = lambda k: "".join(rng.choice("abcdefghijklmnop") for _ in range(k))
+    passage = make(80)
+    rows = [(i, make(rng.randint(30, 60)) + passage + make(rng.randint(30, 60))) for i in range(300)]
+    data = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    p = suffix_dedup.Phrases(data, np.concatenate([[0], np.cumsum([len(t) for _, t in rows])]), np.arange(300))
+    state = np.full(len(p.trig), suffix_dedup.SPREAD, np.uint8)
+    most = max(np.unique(p.trig, return_counts=True)[1])
+    spread = [len(which) for _, which in suffix_dedup.Strings(p, state).dealt(64)]
+    assert most > 200 and max(spread) < 3 * sum(spread) / 64  # a trigger that all share, and strings that fall apart
+    found = suffix_dedup.dedup(texts(rows)).collect()
+    assert sorted([(r.doc_id, r.n_bytes, bytes(r.kept)) for r in found], key=repr) == brute_removed(rows)
+
+
 def test_dedup_exact_length(texts):
     rng = random.Random(2)
     make = lambda k: "".join(rng.choice("abcdefghijklmnop") for _ in range(k))
