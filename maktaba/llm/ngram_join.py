@@ -56,6 +56,8 @@ ASKERS = 2048
 #: Bytes of sets that members of one key have, about, as a task holds the sets of a key.
 KEY_BYTES = 32 << 20
 SLICE_BYTES = 6 << 20
+#: Bytes of copies of one set that leave a task at a time.
+COPY_BYTES = 2 << 20
 _WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -373,8 +375,11 @@ def _fetch(needed: DataFrame, files: DataFrame) -> DataFrame:
             for pack, nodes, sizes, orders in zip(*(batch.column(c).to_pylist() for c in ("pack", "nodes", "sizes", "orders"))):
                 sets, nodes = open_sets(pack, np.frombuffer(sizes, "<i8")), np.frombuffer(nodes, "<i8")
                 for x in orders:
-                    i, k = x["place"], len(x["keys"])
-                    yield pa.RecordBatch.from_arrays([pa.array(x["keys"], pa.int32()), pa.array([nodes[i]] * k, pa.int64()), pa.array([sets[i].tobytes()] * k, pa.binary())], names=["key", "node", "tokens"])
+                    i = x["place"]
+                    step = max(1, COPY_BYTES // max(1, sets[i].nbytes))  # a long set that many tasks want goes out a few copies at a time
+                    for lo in range(0, len(x["keys"]), step):
+                        keys = x["keys"][lo : lo + step]
+                        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([nodes[i]] * len(keys), pa.int64()), pa.array([sets[i].tobytes()] * len(keys), pa.binary())], names=["key", "node", "tokens"])
 
     return orders.repartition(n).mapInArrow(fetch, "key int, node long, tokens binary")
 
