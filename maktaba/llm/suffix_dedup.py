@@ -12,12 +12,15 @@ documents and are judged on the input. The steps:
 4. Where a smaller document has the trigger but not the phrase (at the ends of a repeat), the phrases themselves meet. A
    suffix array of these phrases, by prefix doubling up to LENGTH bytes, puts equal strings side by side; the least
    document of each run decides for each string of each phrase.
-   A trigger with more than HOT such phrases is no such group: its strings meet one by one, by the range of their own
-   hashes, so that no task holds all that surrounds a common passage.
-5. Each pack gathers the verdicts on its phrases, and the union of covered strings is cut from each text.
+   A trigger with more than HOT such phrases is no such group: its strings meet by the range of the hash of a core, the 44
+   bytes that up to seven strings of a phrase share, so that no task holds all that surrounds a common passage. The bytes
+   beside the core, up to six on each side, travel with it and tell its strings apart.
+5. Strings around a core that more than HOT groups share, as at the ends of a common passage, meet one by one, by the range
+   of their own hashes.
+6. Each pack gathers the verdicts on its phrases, and the union of covered strings is cut from each text.
 
 Phrases count as equal by 80 bits of two hashes; strings in step 4 are compared exactly, those of hot triggers by
-80 bits.
+80 bits of the core and the bytes beside it, those of step 5 by 80 bits.
 
 Cases: a null text is empty; rows with equal ids don't remove from each other; a null id counts as larger than all
 others, so that its text is judged and never a reason; long documents are parsed in chunks that overlap by LENGTH - 1
@@ -45,7 +48,11 @@ WINDOW = LENGTH - K + 1
 RANGES = 4
 #: Phrases of one trigger that may meet in one range.
 HOT = 2048
-SAME, ASK, SOURCE, SPREAD = 1, 2, 3, 4  # states of a phrase: covered whole; strings to be looked up; only looked at; strings looked up by themselves
+#: Strings of a hot trigger that may travel as one group; a group's places fit into a byte, its sides into a word.
+STEP = 7
+#: The answer to a group whose core more than HOT groups share.
+AGAIN = 0x80
+SAME, ASK, SOURCE, SPREAD = 1, 2, 3, 4  # states of a phrase: covered whole; strings to be looked up; only looked at; strings looked up by their cores
 
 
 def window_minima(hashes: np.ndarray, window: int, block: int = 1 << 15) -> np.ndarray:
@@ -133,16 +140,106 @@ class Phrases:
         return np.where(mine, out[self.lead], SAME).astype(np.uint8)
 
 
-class Strings:
-    """The strings of the phrases of a chunk that are in state SPREAD: first byte, document, and 80 bits that stand for the string."""
+class Groups:
+    """The strings of the phrases of a chunk that are in state SPREAD, up to STEP of them in a row by what they share.
+
+    Group g of a phrase has the strings in which the trigger stands at the places g * STEP to g * STEP + STEP - 1. All of
+    them hold the core, LENGTH - STEP + 1 bytes; the string of place j in the group starts j bytes before the core and ends
+    STEP - 1 - j bytes after it. `facts` has 24 bytes a group: hash of the core, STEP - 1 bytes on each side of it (zero
+    where no string needs them), 16 more bits that stand for the core, a bit for each place, and a zero.
+    """
 
     def __init__(self, p: Phrases, state: np.ndarray):
         of = np.flatnonzero(state == SPREAD)
-        phrase = np.repeat(of, p.count[of])
-        self.start = p.start[phrase] + np.arange(len(phrase)) - np.repeat(np.cumsum(p.count[of]) - p.count[of], p.count[of])
-        self.doc = p.doc[phrase]
+        most = p.trigger[of] - p.start[of]
+        least = most - p.count[of] + 1
+        n = most // STEP - least // STEP + 1
+        phrase, most, least, group = (np.repeat(x, n) for x in (of, most, least, least // STEP))
+        group += np.arange(len(phrase)) - np.repeat(np.cumsum(n) - n, n)
+        low, high = np.maximum(least - group * STEP, 0), np.minimum(most - group * STEP, STEP - 1)
+        self.doc, self.core = p.doc[phrase], p.trigger[phrase] - group * STEP
+        after = self.core + LENGTH - STEP + 1
+        k = np.arange(STEP - 1)
+        self.facts = np.zeros((len(phrase), 24), np.uint8)
+        if len(phrase):
+            self.facts[:, :8] = RangeHash(p.data)(self.core, after).astype("<u8").view(np.uint8).reshape(-1, 8)
+            self.facts[:, 8:14] = np.where(k >= STEP - 1 - high[:, None], p.data[np.maximum(self.core[:, None] - STEP + 1 + k, 0)], 0)
+            self.facts[:, 14:20] = np.where(k < STEP - 1 - low[:, None], p.data[np.minimum(after[:, None] + k, len(p.data) - 1)], 0)
+            more = p.trig[phrase] + group.astype(np.uint64)
+            self.facts[:, 20:22] = (more & np.uint64(0xFFFF)).astype("<u2").view(np.uint8).reshape(-1, 2)
+            self.facts[:, 22] = (1 << high + 1) - (1 << low)
+        # Of equal groups in the chunk the one of the smallest document speaks for all.
+        words = self.facts.view("<u8")
+        order = np.lexsort((self.doc, words[:, 2], words[:, 1], words[:, 0]))
+        lead = np.ones(len(order), bool)
+        lead[1:] = (words[order[1:]] != words[order[:-1]]).any(1)
+        self.lead = np.empty(len(order), np.int64)
+        self.lead[order] = order[np.flatnonzero(lead)[np.cumsum(lead) - 1]] if len(order) else 0
+        self.sent = np.flatnonzero(self.lead == np.arange(len(order)))
+
+    def dealt(self, ranges: int) -> list[tuple[int, np.ndarray]]:
+        """The groups that are sent, by range of the core's hash; the numbers of these ranges follow those of the triggers."""
+        hashes = self.facts.view("<u8")[self.sent, 0]
+        bucket = (hashes // np.uint64((1 << 64) // ranges + 1)).astype(np.int64) + ranges
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+        return [(int(bucket[part[0]]), self.sent[part]) for part in np.split(order, cuts) if len(part)]
+
+    def answered(self, parts: dict[int, bytes], ranges: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first bytes of the strings that a smaller document has, and which groups are to ask string by string."""
+        hit = np.zeros(len(self.core), np.uint8)
+        for bucket, which in self.dealt(ranges):
+            if bucket in parts:
+                hit[which] = np.frombuffer(parts[bucket], np.uint8)
+        hit = np.where(self.doc > self.doc[self.lead], self.facts[:, 22], hit[self.lead])
+        return np.concatenate([self.core[hit >> j & 1 == 1] - j for j in range(STEP)]), hit & AGAIN > 0
+
+
+def held_strings(doc: np.ndarray, facts: np.ndarray, hot: int) -> np.ndarray:
+    """For each group, a bit for each place whose string a smaller document has, or AGAIN where more than `hot` share the core.
+
+    Groups and documents are as in Groups.
+    """
+    hashes, entry, keys, rest = facts.view("<u8")[:, 0], [], [], []
+    _, which, sizes = np.unique(hashes, return_inverse=True, return_counts=True)
+    crowded = sizes[which] > hot
+    for j in range(STEP):
+        at = np.flatnonzero((facts[:, 22] >> j & 1 == 1) & ~crowded)
+        entry.append(at)
+        keys.append(hashes[at] + np.uint64(j * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+        beside = facts[at, 8 + STEP - 1 - j : 8 + 2 * (STEP - 1) - j]
+        rest.append(np.concatenate([beside, facts[at, 20:22]], axis=1).view("<u8").ravel())
+    place = np.repeat(np.arange(STEP), [len(x) for x in entry])
+    of, key, text = np.concatenate(entry), np.concatenate(keys), np.concatenate(rest)
+    hit = _smaller_has(doc[of], text, key)
+    out = np.where(crowded, AGAIN, 0).astype(np.uint8)
+    for j in range(STEP):
+        out[of[hit & (place == j)]] |= 1 << j
+    return out
+
+
+def _smaller_has(doc: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """For each row, whether one with the same keys has a smaller document."""
+    order = np.lexsort((doc, *keys))
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in keys:
+        new[1:] |= key[order[1:]] != key[order[:-1]]
+    d, hit = doc[order], np.empty(len(order), bool)
+    hit[order] = d[np.flatnonzero(new)[np.cumsum(new) - 1]] < d
+    return hit
+
+
+class Strings:
+    """The strings of the groups of a chunk that ask again: first byte, document, and 80 bits that stand for the string."""
+
+    def __init__(self, p: Phrases, groups: Groups, again: np.ndarray):
+        which = np.flatnonzero(again)
+        of, place = np.nonzero(groups.facts[which, 22][:, None] >> np.arange(STEP) & 1)
+        of = which[of]
+        self.start, self.doc = groups.core[of] - place, groups.doc[of]
         self.hash = RangeHash(p.data)(self.start, self.start + LENGTH) if len(of) else np.zeros(0, np.uint64)
-        self.more = ((p.trig[phrase] + (p.trigger[phrase] - self.start).astype(np.uint64)) & np.uint64(0xFFFF)).astype("<u2")
+        self.more = groups.facts[of, 20:22].view("<u2").ravel() + place.astype(np.uint16)
         # Of equal strings in the chunk the one of the smallest document speaks for all.
         order = np.lexsort((self.doc, self.more, self.hash))
         h, m = self.hash[order], self.more[order]
@@ -153,8 +250,8 @@ class Strings:
         self.sent = np.flatnonzero(self.lead == np.arange(len(order)))
 
     def dealt(self, ranges: int) -> list[tuple[int, np.ndarray]]:
-        """The strings that are sent, by range of their hash; the numbers of these ranges follow those of the triggers."""
-        bucket = (self.hash[self.sent] // np.uint64((1 << 64) // ranges + 1)).astype(np.int64) + ranges
+        """The strings that are sent, by range of their hash."""
+        bucket = (self.hash[self.sent] // np.uint64((1 << 64) // ranges + 1)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
         return [(int(bucket[part[0]]), self.sent[part]) for part in np.split(order, cuts) if len(part)]
@@ -168,6 +265,20 @@ class Strings:
         return self.start[hit[self.lead] | (self.doc > self.doc[self.lead])]
 
 
+def narrow(ids: np.ndarray) -> bytes:
+    """Whole numbers, at least one, as the least and the distances from it in as few bytes each as they all fit."""
+    least = ids.min()
+    away = ids.astype(np.uint64) - least.astype(np.uint64)
+    width = next(w for w in (1, 2, 4, 8) if int(away.max()) < 1 << 8 * w)
+    return np.int64(least).tobytes() + away.astype(f"<u{width}").tobytes()
+
+
+def wide(data: bytes, n: int) -> np.ndarray:
+    """The n numbers that narrow wrote."""
+    away = np.frombuffer(data, f"<u{(len(data) - 8) // n}", offset=8).astype(np.uint64)
+    return (away + np.frombuffer(data, "<u8", 1)).view(np.int64)
+
+
 def chunks(docs: np.ndarray, offsets: np.ndarray, data: np.ndarray) -> Iterator[tuple[int, int, Phrases]]:
     """Number, first byte and parse of each chunk: the whole pack, or parts of one long document."""
     if len(data) <= 2 * PACK_BYTES:
@@ -297,34 +408,30 @@ def string_verdicts(states: DataFrame, buckets: int, ranges: int) -> DataFrame:
                         which = which[(state[which] == ASK) | (state[which] == SOURCE)]
                         if len(which):
                             phrases = b"".join(p.data[a:b].tobytes() for a, b in zip(p.start[which], p.end[which]))
-                            rows.append((pack, number, bucket, p.doc[which].astype("<i8").tobytes(), (state[which] == ASK).tobytes(), p.count[which].astype(np.uint8).tobytes(), phrases))
+                            rows.append((pack, number, bucket, narrow(p.doc[which]), (state[which] == ASK).tobytes(), p.count[which].astype(np.uint8).tobytes(), phrases))
                     if (state == SPREAD).any():
-                        alone = Strings(p, state)
-                        for bucket, which in alone.dealt(ranges):
-                            rows.append((pack, number, bucket, alone.doc[which].astype("<i8").tobytes(), None, alone.more[which].tobytes(), alone.hash[which].astype("<u8").tobytes()))
+                        groups = Groups(p, state)
+                        for bucket, which in groups.dealt(ranges):
+                            rows.append((pack, number, bucket, narrow(groups.doc[which]), None, None, groups.facts[which].tobytes()))
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_bucket(batches):
-            yield answer(rows) if rows[0]["bucket"] < ranges else answer_strings(rows)
-
-    def answer_strings(rows: list[dict]) -> pa.RecordBatch:
-        doc, more, hashes = (np.concatenate([np.frombuffer(r[c], kind) for r in rows]) for c, kind in (("docs", "<i8"), ("counts", "<u2"), ("phrases", "<u8")))
-        order = np.lexsort((doc, more, hashes))
-        h, m, d = hashes[order], more[order], doc[order]
-        new = np.concatenate([[True], (h[1:] != h[:-1]) | (m[1:] != m[:-1])])
-        hit = np.empty(len(order), bool)
-        hit[order] = d[np.flatnonzero(new)[np.cumsum(new) - 1]] < d
-        ends = np.cumsum([len(r["docs"]) // 8 for r in rows])
-        parts = [(r, hit[e - len(r["docs"]) // 8 : e]) for r, e in zip(rows, ends)]
-        return _answers([(r["pack"], r["chunk"], r["bucket"], np.packbits(x).tobytes()) for r, x in parts if x.any()])
+            yield answer(rows) if rows[0]["bucket"] < ranges else answer_groups(rows)
+
+    def answer_groups(rows: list[dict]) -> pa.RecordBatch:
+        counts = [len(r["phrases"]) // 24 for r in rows]
+        doc = np.concatenate([wide(r["docs"], n) for r, n in zip(rows, counts)])
+        hit = held_strings(doc, np.frombuffer(b"".join(r["phrases"] for r in rows), np.uint8).reshape(-1, 24), HOT)
+        parts = [(r, hit[e - n : e]) for r, n, e in zip(rows, counts, np.cumsum(counts))]
+        return _answers([(r["pack"], r["chunk"], r["bucket"], x.tobytes()) for r, x in parts if x.any()])
 
     def answer(rows: list[dict]) -> pa.RecordBatch:
         of, docs, asked, counts, phrases = [], [], [], [], []
         for row in rows:
-            docs.append(np.frombuffer(row["docs"], "<i8"))
             asked.append(np.frombuffer(row["asked"], bool))
+            docs.append(wide(row["docs"], len(asked[-1])))
             counts.append(np.frombuffer(row["counts"], np.uint8).astype(np.int64))
             phrases.append(row["phrases"])
             of.append((row["pack"], row["chunk"], row["bucket"], int(asked[-1].sum())))
@@ -349,10 +456,47 @@ def string_verdicts(states: DataFrame, buckets: int, ranges: int) -> DataFrame:
     return _by_pack(to_buckets(sent).mapInArrow(meet, ANSWER))
 
 
-def covered_bytes(docs: np.ndarray, offsets: np.ndarray, data: np.ndarray, states: list[dict] | None, verdicts: list[dict] | None, buckets: int, ranges: int) -> np.ndarray:
+def asks_again(verdicts: list[dict] | None, ranges: int) -> bool:
+    return any(x["bucket"] >= ranges and (np.frombuffer(x["answer"], np.uint8) & AGAIN).any() for x in verdicts or [])
+
+
+def lone_verdicts(asked: DataFrame, buckets: int, ranges: int) -> DataFrame:
+    """Step 5: for the strings of groups that ask again, a bit for each that a smaller document has."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = ["pack", "chunk", "bucket", "docs", "more", "hash"], [pa.string(), pa.int32(), pa.int32(), *[pa.binary()] * 3]
+        for batch in batches:
+            for pack, first, second in zip(*(batch.column(c).to_pylist() for c in ("pack", "states", "verdicts"))):
+                if not asks_again(second, ranges):
+                    continue
+                first, second = _parts(first), _parts(second)
+                docs, _, offsets, data = open_pack(pack)
+                for number, _, p in chunks(docs, offsets, data):
+                    if number not in second:
+                        continue
+                    groups = Groups(p, p.states(first[number], buckets))
+                    alone = Strings(p, groups, groups.answered(second[number], ranges)[1])
+                    rows = [(pack, number, bucket, narrow(alone.doc[which]), alone.more[which].tobytes(), alone.hash[which].astype("<u8").tobytes()) for bucket, which in alone.dealt(ranges)]
+                    if rows:
+                        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in by_bucket(batches):
+            counts = [len(r["more"]) // 2 for r in rows]
+            doc = np.concatenate([wide(r["docs"], n) for r, n in zip(rows, counts)])
+            more, hashes = (np.concatenate([np.frombuffer(r[c], kind) for r in rows]) for c, kind in (("more", "<u2"), ("hash", "<u8")))
+            hit = _smaller_has(doc, more, hashes)
+            parts = [(r, hit[e - n : e]) for r, n, e in zip(rows, counts, np.cumsum(counts))]
+            yield _answers([(r["pack"], r["chunk"], r["bucket"], np.packbits(x).tobytes()) for r, x in parts if x.any()])
+
+    sent = asked.repartition(partitions(asked)).mapInArrow(send, "pack string, chunk int, bucket int, docs binary, more binary, hash binary")
+    return _by_pack(to_buckets(sent).mapInArrow(meet, ANSWER))
+
+
+def covered_bytes(docs: np.ndarray, offsets: np.ndarray, data: np.ndarray, states: list[dict] | None, verdicts: list[dict] | None, lone: list[dict] | None, buckets: int, ranges: int) -> np.ndarray:
     """Which bytes of a pack go."""
     step = np.zeros(len(data) + 1, np.int32)
-    first, second = _parts(states), _parts(verdicts)
+    first, second, third = _parts(states), _parts(verdicts), _parts(lone)
     if not first:
         return np.zeros(len(data), bool)
     for number, base, p in chunks(docs, offsets, data):
@@ -368,7 +512,10 @@ def covered_bytes(docs: np.ndarray, offsets: np.ndarray, data: np.ndarray, state
                 masks[which[state[which] == ASK]] = np.frombuffer(second[number][bucket], "<u8")
         masks = np.where(state == ASK, masks[p.lead], 0).astype(np.uint64)
         if (state == SPREAD).any():
-            at = Strings(p, state).covered(second.get(number, {}), ranges)
+            groups = Groups(p, state)
+            at, again = groups.answered(second.get(number, {}), ranges)
+            if again.any():
+                at = np.concatenate([at, Strings(p, groups, again).covered(third.get(number, {}), ranges)])
             np.add.at(step, base + at, 1)
             np.add.at(step, base + at + LENGTH, -1)
         for k in range(WINDOW):
@@ -391,13 +538,17 @@ def dedup(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
     extra = f", kept_text string, carried {docs.select(carried.alias('c')).schema['c'].dataType.simpleString()}" if carry else ""
     states = staged(dictionary_states(packs, buckets), "phrase_states")
     verdicts = staged(string_verdicts(states, buckets, ranges), "string_verdicts")
-    rows = packs.select("pack").join(states.withColumnRenamed("answers", "states"), "pack", "left").join(verdicts.withColumnRenamed("answers", "verdicts"), "pack", "left")
+    both = states.withColumnRenamed("answers", "states").join(verdicts.withColumnRenamed("answers", "verdicts"), "pack")
+    lone = staged(lone_verdicts(both, buckets, ranges), "lone_verdicts")
+    rows = packs.select("pack")
+    for found, name in ((states, "states"), (verdicts, "verdicts"), (lone, "lone")):
+        rows = rows.join(found.withColumnRenamed("answers", name), "pack", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for pack, first, second in zip(*(batch.column(c).to_pylist() for c in ("pack", "states", "verdicts"))):
+            for pack, first, second, third in zip(*(batch.column(c).to_pylist() for c in ("pack", "states", "verdicts", "lone"))):
                 keys, known, offsets, data = open_pack(pack)
-                gone = covered_bytes(keys, offsets, data, first, second, buckets, ranges)
+                gone = covered_bytes(keys, offsets, data, first, second, third, buckets, ranges)
                 spans, kept = [], []
                 for a, b in zip(offsets[:-1], offsets[1:]):
                     edge = np.flatnonzero(np.diff(np.concatenate([[False], gone[a:b], [False]]).astype(np.int8)))

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from maktaba.llm import components, ngram_join, suffix_dedup
+from maktaba.llm import components, ngram_join, packs, suffix_dedup
 
 
 def brute_removed(rows, length=suffix_dedup.LENGTH):
@@ -48,14 +48,38 @@ def test_dedup_of_a_passage_with_many_surroundings(texts, monkeypatch):
     rows = [(i, make(rng.randint(30, 60)) + passage + make(rng.randint(30, 60))) for i in range(300)]
     data = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
     p = suffix_dedup.Phrases(data, np.concatenate([[0], np.cumsum([len(t) for _, t in rows])]), np.arange(300))
-    state = np.full(len(p.trig), suffix_dedup.SPREAD, np.uint8)
+    groups = suffix_dedup.Groups(p, np.full(len(p.trig), suffix_dedup.SPREAD, np.uint8))
     most = max(np.unique(p.trig, return_counts=True)[1])
-    spread = [len(which) for _, which in suffix_dedup.Strings(p, state).dealt(64)]
+    spread = [len(which) for _, which in suffix_dedup.Strings(p, groups, np.ones(len(groups.core), bool)).dealt(64)]
     assert most > 200 and max(spread) < 3 * sum(spread) / 64  # a trigger that all share, and strings that fall apart
     found = suffix_dedup.dedup(texts(rows)).collect()
     assert sorted([(r.doc_id, r.n_bytes, bytes(r.kept)) for r in found], key=repr) == brute_removed(rows)
 
 
+def test_strings_of_groups_against_plain_sets():
+    rng = random.Random(9)
+    passage = "".join(rng.choice("ab") for _ in range(70))
+    rows = [passage[rng.randint(0, 9) : rng.randint(58, 70)] + "".join(rng.choice("ab") for _ in range(rng.randint(0, 9))) for _ in range(60)]
+    ids = np.array([rng.randint(-3, 40) for _ in rows[1:]] + [packs.NO_ID])
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in rows])])
+    p = suffix_dedup.Phrases(np.frombuffer("".join(rows).encode(), np.uint8), offsets, ids)
+    groups = suffix_dedup.Groups(p, np.full(len(p.trig), suffix_dedup.SPREAD, np.uint8))
+    hit = suffix_dedup.held_strings(groups.doc[groups.sent], groups.facts[groups.sent], suffix_dedup.HOT)
+    place = {int(x): i for i, x in enumerate(groups.sent)}
+    answers = {b: hit[[place[int(x)] for x in which]].tobytes() for b, which in groups.dealt(8)}
+    data, least = "".join(rows), {}
+    spots = [(int(a) + i, d) for a, t, d in zip(offsets, rows, ids) for i in range(len(t) - suffix_dedup.LENGTH + 1)]
+    for at, d in spots:
+        string = data[at : at + suffix_dedup.LENGTH]
+        least[string] = min(least.get(string, d), d)
+    assert sorted(groups.answered(answers, 8)[0].tolist()) == [at for at, d in spots if least[data[at : at + suffix_dedup.LENGTH]] < d]
+
+
+def test_narrow_numbers():
+    for ids in ([5], [-3, 252], [7, 7 + (1 << 20)], [-(1 << 63), packs.NO_ID, 0]):
+        assert suffix_dedup.wide(suffix_dedup.narrow(np.array(ids, np.int64)), len(ids)).tolist() == ids
+
+
 def test_dedup_exact_length(texts):
     rng = random.Random(2)
     make = lambda k: "".join(rng.choice("abcdefghijklmnop") for _ in range(k))
