@@ -15,7 +15,7 @@ documents and are judged on the input. The steps:
    A trigger with more than HOT such phrases is no such group: its strings meet by the range of the hash of a core, the 44
    bytes that up to seven strings of a phrase share, so that no task holds all that surrounds a common passage. The bytes
    beside the core, up to six on each side, travel with it and tell its strings apart.
-5. Strings around a core that more than HOT groups share, as at the ends of a common passage, meet one by one, by the range
+5. Strings around a core that more than CROWDED groups share, as at the ends of a common passage, meet one by one, by the range
    of their own hashes.
 6. Each pack gathers the verdicts on its phrases, and the union of covered strings is cut from each text.
 
@@ -50,7 +50,9 @@ RANGES = 4
 HOT = 2048
 #: Strings of a hot trigger that may travel as one group; a group's places fit into a byte, its sides into a word.
 STEP = 7
-#: The answer to a group whose core more than HOT groups share.
+#: Groups that may share a core: they take about 10 MB in a task, as HOT phrases do in string_ranks.
+CROWDED = 1 << 14
+#: The answer to a group whose core more than CROWDED groups share.
 AGAIN = 0x80
 SAME, ASK, SOURCE, SPREAD = 1, 2, 3, 4  # states of a phrase: covered whole; strings to be looked up; only looked at; strings looked up by their cores
 
@@ -423,7 +425,7 @@ def string_verdicts(states: DataFrame, buckets: int, ranges: int) -> DataFrame:
     def answer_groups(rows: list[dict]) -> pa.RecordBatch:
         counts = [len(r["phrases"]) // 24 for r in rows]
         doc = np.concatenate([wide(r["docs"], n) for r, n in zip(rows, counts)])
-        hit = held_strings(doc, np.frombuffer(b"".join(r["phrases"] for r in rows), np.uint8).reshape(-1, 24), HOT)
+        hit = held_strings(doc, np.frombuffer(b"".join(r["phrases"] for r in rows), np.uint8).reshape(-1, 24), CROWDED)
         parts = [(r, hit[e - n : e]) for r, n, e in zip(rows, counts, np.cumsum(counts))]
         return _answers([(r["pack"], r["chunk"], r["bucket"], x.tobytes()) for r, x in parts if x.any()])
 
@@ -538,11 +540,12 @@ def dedup(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
     extra = f", kept_text string, carried {docs.select(carried.alias('c')).schema['c'].dataType.simpleString()}" if carry else ""
     states = staged(dictionary_states(packs, buckets), "phrase_states")
     verdicts = staged(string_verdicts(states, buckets, ranges), "string_verdicts")
-    both = states.withColumnRenamed("answers", "states").join(verdicts.withColumnRenamed("answers", "verdicts"), "pack")
+    # The answers grow with the corpus, so none of these joins broadcasts.
+    both = states.withColumnRenamed("answers", "states").join(verdicts.withColumnRenamed("answers", "verdicts").hint("merge"), "pack")
     lone = staged(lone_verdicts(both, buckets, ranges), "lone_verdicts")
     rows = packs.select("pack")
     for found, name in ((states, "states"), (verdicts, "verdicts"), (lone, "lone")):
-        rows = rows.join(found.withColumnRenamed("answers", name), "pack", "left")
+        rows = rows.join(found.withColumnRenamed("answers", name).hint("merge"), "pack", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -34,6 +34,7 @@ def some_texts(seed, n=40):
 def test_dedup_against_brute_force(texts, monkeypatch, pack, hot):
     monkeypatch.setattr(suffix_dedup, "PACK_BYTES", pack)  # 64: chunks of single documents
     monkeypatch.setattr(suffix_dedup, "HOT", hot)  # 0 and 1: strings of all or most triggers meet by themselves
+    monkeypatch.setattr(suffix_dedup, "CROWDED", hot)
     rows = some_texts(1)
     found = suffix_dedup.dedup(texts(rows)).collect()
     assert sorted([(r.doc_id, r.n_bytes, bytes(r.kept)) for r in found], key=repr) == brute_removed(rows)
@@ -42,6 +43,7 @@ def test_dedup_against_brute_force(texts, monkeypatch, pack, hot):
 
 def test_dedup_of_a_passage_with_many_surroundings(texts, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "HOT", 50)
+    monkeypatch.setattr(suffix_dedup, "CROWDED", 50)
     rng = random.Random(8)
     make = lambda k: "".join(rng.choice("abcdefghijklmnop") for _ in range(k))
     passage = make(80)
@@ -64,7 +66,7 @@ def test_strings_of_groups_against_plain_sets():
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in rows])])
     p = suffix_dedup.Phrases(np.frombuffer("".join(rows).encode(), np.uint8), offsets, ids)
     groups = suffix_dedup.Groups(p, np.full(len(p.trig), suffix_dedup.SPREAD, np.uint8))
-    hit = suffix_dedup.held_strings(groups.doc[groups.sent], groups.facts[groups.sent], suffix_dedup.HOT)
+    hit = suffix_dedup.held_strings(groups.doc[groups.sent], groups.facts[groups.sent], suffix_dedup.CROWDED)
     place = {int(x): i for i, x in enumerate(groups.sent)}
     answers = {b: hit[[place[int(x)] for x in which]].tobytes() for b, which in groups.dealt(8)}
     data, least = "".join(rows), {}
