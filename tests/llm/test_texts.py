@@ -145,6 +145,32 @@ def test_bpe_pieces_join_up(monkeypatch):
         assert bpe.encode_text(enc, text).tolist() == enc.encode_ordinary(text)
 
 
+def test_bpe_pieces_without_spaces(monkeypatch):
+    random.seed(8)
+    enc = bpe.encoding(FILE, PATTERN)
+    monkeypatch.setattr(bpe, "PIECE_CHARS", 20)
+    kinds = ["字", "日本", "。", "，", "ab", "É", "é", "e\u0301", "7", "42", "'s", "'", "'ll", "!", "/", "+", "\n", "\u00a0", "ة", "؟", "가", "_"]
+    for _ in range(500):
+        text = "".join(random.choice(kinds) for _ in range(90))
+        assert "".join(bpe.safe_pieces(text, 20)) == text
+        assert bpe.encode_text(enc, text).tolist() == enc.encode_ordinary(text)
+    assert max(map(len, bpe.safe_pieces("字字字。" * 50_000, 1000))) < 1010
+    assert max(map(len, bpe.safe_pieces("aGVsbG8x+/9" * 20_000, 1000))) < 1020
+    assert list(bpe.safe_pieces("a" * 5000, 1000)) == ["a" * 5000]
+
+
+def test_whole_texts_without_spaces_for_the_tokenizers_library():
+    from tokenizers import Tokenizer
+
+    random.seed(9)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole = Tokenizer.from_file(path)
+    for _ in range(200):
+        text = "".join(random.choice(["字", "。", "ab", "é", "7", "'s", "'", "!", "/", "\n", "\u00a0", "ة", " "]) for _ in range(200))
+        pieces = [i for p in bpe.safe_pieces(text, 20) for i in whole.encode(p, add_special_tokens=False).ids]
+        assert pieces == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_bpe_round_trip(texts):
     found = bpe.decode(bpe.encode(texts(EDGES), FILE, PATTERN), FILE, PATTERN).collect()
     assert sorted((r.doc_id, bytes(r.decoded).decode()) for r in found if r.doc_id) == sorted((i, t or "") for i, t in EDGES if i)
