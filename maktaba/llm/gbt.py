@@ -32,7 +32,12 @@ class Trees:
 
 
 def fit(x: np.ndarray, y: np.ndarray, monotone: np.ndarray, *, trees: int = 80, depth: int = 4, rate: float = 0.15, bins: int = 64, least: int = 15, l2: float = 1.0) -> Trees:
-    """Trees for the log-odds of y (0 or 1). monotone has -1, 0 or 1 for each feature: the score falls, is free, or rises."""
+    """Trees for the log-odds of y (0 or 1). monotone has -1, 0 or 1 for each feature: the score falls, is free, or rises.
+
+    Features must be finite. Of equal gains the first feature, then its least threshold, makes the split. Without rows of
+    both labels, or with fewer than 2 * least rows, there are no trees, and all rows get the share of label 1 (0.5 if
+    there are no rows).
+    """
     inner, leaves = 2**depth - 1, 2**depth
     mean = min(max(float(y.mean()) if len(y) else 0.5, 1e-6), 1 - 1e-6)
     base = float(np.log(mean / (1 - mean)))

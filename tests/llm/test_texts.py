@@ -65,6 +65,16 @@ def test_trees_learn_and_keep_monotone():
     assert (np.diff(trees.margin(line)) <= 1e-12).all()
 
 
+def test_trees_of_equal_gains_and_of_one_label():
+    y = np.repeat([0.0, 1.0], 100)
+    x = np.stack([np.ones(200), y, y], 1)
+    trees = gbt.fit(x, y, np.zeros(3, int), trees=3)
+    assert (trees.feature[:, 0] == 1).all() and (trees.threshold[:, 0] == 0).all()
+    for rows, share in ((x[:0], 0.5), (x[100:], 1 - 1e-6), (x[90:105], 1 / 3)):
+        trees = gbt.fit(rows, rows[:, 1], np.zeros(3, int))
+        assert len(trees.value) == 0 and trees.score(x) == pytest.approx(np.full(200, share))
+
+
 def test_classifier_learns_and_handles_cases(spark, texts):
     random.seed(1)
     clean = [(i, " ".join(random.choice(["the", "tion", "and", "re"]) for _ in range(60))) for i in range(100, 300)]
