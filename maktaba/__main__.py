@@ -25,7 +25,7 @@ def main(args: list[str] | None = None) -> int:
     p.add_argument("--model", default="gemma3:4b", help="the model that the replies come from")
     p.add_argument("--replies", help="a folder with chunks, headers and articles tables of replies (Parquet)")
     p.add_argument("--timeout", type=int, default=180, help="seconds that a call of the model may take")
-    p.add_argument("--client", help="module:function that answers prompts, (prompt, timeout) -> (reply, token count)")
+    p.add_argument("--client", help="module:function that answers prompts, (prompt, timeout) -> (reply, token count); its attribute listed, if any, names the models at hand")
     p.add_argument("--output", "-o", help="a .json file (for results of a few documents), else a folder for JSON lines")
     p.add_argument("--text-only", action="store_true")
     p.add_argument("--articles-only", action="store_true")
@@ -40,7 +40,7 @@ def main(args: list[str] | None = None) -> int:
         client = getattr(importlib.import_module(module), name)
     began = time.perf_counter()
     try:
-        found = run(spark, o.file, o.phase, force_ocr=o.ocr, replies=replies, model=Model(o.model, client, o.timeout), skip_llm=o.no_llm)
+        found = run(spark, o.file, o.phase, force_ocr=o.ocr, replies=replies, model=Model(o.model, client, o.timeout, listed=getattr(client, "listed", None)), skip_llm=o.no_llm)
     except (FileNotFoundError, ValueError) as e:
         print(f"Error: {e}", file=sys.stderr)
         return 1

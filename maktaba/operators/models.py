@@ -72,6 +72,16 @@ def is_available(names: list[str], model: str) -> bool:
     return any(model in n for n in names)
 
 
+def answers(client: Client, model: str, listed: Callable[[], list[str]], timeout: float) -> bool:
+    """Whether the model is listed, or else a trial call goes through. A list that can't be had counts as no model."""
+    try:
+        if not is_available(listed(), model):
+            client("test", timeout)
+        return True
+    except Exception:  # noqa: BLE001  whatever keeps the client from answering
+        return False
+
+
 class _Line:
     """One thread that calls the client for a partition. A late call keeps its thread until the client gives up, which got
     the same timeout; the next call takes a new one."""

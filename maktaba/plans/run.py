@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,12 +27,25 @@ class Run:
 
 @dataclass(frozen=True)
 class Model:
-    """A model that answers prompts: its name, a client, and how it is called. Each prompt is asked once a run."""
+    """A model that answers prompts: its name, a client, and how it is called. Each prompt is asked once a run.
+
+    With `listed`, a function that gives the names of the models at hand, corrections are only asked for if the model is
+    among them or answers a trial call. Corrections come by chunks of max_chunk characters, and one whose length differs
+    by more than max_length_change from its chunk's is rejected.
+    """
 
     name: str = "gemma3:4b"
     client: models.Client | None = None
     timeout: float = 180.0
     attempts: int = 3
+    listed: Callable[[], list[str]] | None = None
+    max_chunk: int = correction.MAX_CHUNK
+    max_length_change: float = correction.MAX_LENGTH_CHANGE
+
+    @cached_property
+    def available(self) -> bool:
+        """Whether the client can be asked; found out once."""
+        return self.client is not None and (self.listed is None or models.answers(self.client, self.name, self.listed, self.timeout))
 
     def ask(self, prompts: DataFrame, what: str, *, attempts: int | None = None) -> DataFrame | None:
         return None if self.client is None else stored(models.ask(prompts, self.client, timeout=self.timeout, attempts=attempts or self.attempts), what)
@@ -39,14 +54,14 @@ class Model:
 def clean(extracted: DataFrame, replies: DataFrame | None = None, *, model: Model = Model(), skip: bool = False) -> DataFrame:
     """Per doc_id of extracted: the cleaning result, after the corrections in replies, or else those that the model's client gives.
 
-    With skip the correction layer is left out; without replies and without a client it passes, with a warning.
+    With skip the correction layer is left out; without replies and without an available client it passes, with a warning.
     """
     ruled = cleaning.rule_clean(extracted.select("doc_id", F.col("full_text").alias("text")))
-    if not skip and (replies is not None or model.client is not None):
+    if not skip and (replies is not None or model.available):
         ruled = stored(ruled, "ruled")  # for the chunks, the prompts and the result
-    if replies is None and not skip:
-        replies = model.ask(models.chunk_prompts(correction.chunk_table(ruled)), "corrections")
-    return correction.clean_with_replies(ruled, None if skip else replies, model=model.name, skipped=skip)
+    if replies is None and not skip and model.available:
+        replies = model.ask(models.chunk_prompts(correction.chunk_table(ruled, limit=model.max_chunk)), "corrections")
+    return correction.clean_with_replies(ruled, None if skip else replies, model=model.name, skipped=skip, max_chunk=model.max_chunk, max_change=model.max_length_change)
 
 
 def parse(

@@ -7,6 +7,7 @@ only when a file needs one; any other can be passed in. A PDF file is read nativ
 
 from __future__ import annotations
 
+import functools
 import io
 import os
 import re
@@ -28,12 +29,12 @@ LANGUAGES, DPI = "fra+ara", 300
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 
-def check_paths(paths: list[str], format_override: str | None = None) -> None:
+def check_paths(paths: list[str], format_override: str | None = None, formats: dict[str, str] = extraction.FORMATS) -> None:
     """Local paths must be files that aren't empty, of a known format; other stores are left to Spark."""
     for path in paths:
         extension = os.path.splitext(path)[1].lower()
-        if format_override is None and extension not in extraction.FORMATS:
-            raise ValueError(f"Unsupported file format: {path}. Supported: {list(extraction.FORMATS)}")
+        if format_override is None and extension not in formats:
+            raise ValueError(f"Unsupported file format: {path}. Supported: {list(formats)}")
         if "://" in path:
             continue
         if not os.path.exists(path):
@@ -167,6 +168,12 @@ def read_pdf(content: bytes, native: Reader | None, second: Reader | None, ocr:
     return "native_pdf", scanned, found.pages, said
 
 
+def read_other(content: bytes, kind: str, reader: Reader) -> tuple[str, bool, list[tuple], list[str]]:
+    """A file of a format that a caller's reader knows."""
+    found = _Reading(reader, content, f"{kind.upper()} extraction error")
+    return f"{kind}_parse", False, found.pages, found.warnings
+
+
 def _rows(files: DataFrame, read: Callable[[bytes], tuple[str, bool, list[tuple], list[str]]]) -> DataFrame:
     """PAGES of files: each is read once, whatever the number of results that are made of it."""
 
@@ -244,17 +251,19 @@ def supported_formats(format_: str | None = None) -> dict[str, tuple[str, ...]]:
 
 def extract(
     spark: SparkSession, paths: list[str] | str, *, force_ocr: bool = False, format_override: str | None = None, pdf_reader: Reader | None = None, second_reader: Reader | None = None,
-    ocr_reader: Reader | None = None, languages: str = LANGUAGES, dpi: int = DPI,
+    ocr_reader: Reader | None = None, languages: str = LANGUAGES, dpi: int = DPI, more: dict[str, Reader] | None = None,
 ) -> DataFrame:
     """One row per file: path, name, format, size, method, pages, full text, confidence, flags and warnings.
 
-    One pass over the files and one exchange by path. The OCR reader is only built where a file needs it.
+    One pass over the files and one exchange by path. The OCR reader is only built where a file needs it. `more` has page
+    readers of further formats by name, each of which is its extension too; a reader of a known format replaces that one.
     """
-    paths = [paths] if isinstance(paths, str) else paths
-    check_paths(paths, format_override)
+    paths, more = [paths] if isinstance(paths, str) else paths, more or {}
+    formats = extraction.FORMATS | {f".{kind}": kind for kind in more}
+    check_paths(paths, format_override, formats)
     by_kind: dict[str, list[str]] = {}
     for path in paths:
-        by_kind.setdefault(format_override or extraction.FORMATS[os.path.splitext(path)[1].lower()], []).append(path)
+        by_kind.setdefault(format_override or formats[os.path.splitext(path)[1].lower()], []).append(path)
 
     def pdf(content: bytes) -> tuple[str, bool, list[tuple], list[str]]:
         installed = [] if pdf_reader is not None else native_pdf_readers()
@@ -264,7 +273,8 @@ def extract(
         return read_pdf(content, native, second_reader or (installed[1] if len(installed) > 1 else None), lambda: ocr_reader or TesseractReader(languages, dpi), force_ocr=force_ocr)
 
     readers = {"txt": text_pages, "docx": lambda files: _rows(files, read_docx), "pdf": lambda files: _rows(files, pdf)}
-    if "pdf" in by_kind and not force_ocr and pdf_reader is None and not native_pdf_readers():
+    readers |= {kind: functools.partial(_rows, read=functools.partial(read_other, kind=kind, reader=reader)) for kind, reader in more.items()}
+    if "pdf" in by_kind and "pdf" not in more and not force_ocr and pdf_reader is None and not native_pdf_readers():
         raise ImportError("PDF files need a page reader: install a PDF library or pass pdf_reader")
     pages = None
     for kind, names in by_kind.items():

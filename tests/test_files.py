@@ -138,3 +138,20 @@ def test_stream(spark, tmp_path):
     found = sorted(r.cleaned_text for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert found == ["Deux", "Le mot, juste"]
     assert cleaning.rule_clean(spark.read.parquet(str(tmp_path / "out")).select("text")).count() == 2
+
+
+def test_readers_of_further_formats(spark, tmp_path):
+    (tmp_path / "a.xyz").write_bytes(b"un|deux")
+    (tmp_path / "b.txt").write_text("trois", encoding="utf-8")
+    paths = [str(tmp_path / n) for n in ("a.xyz", "b.txt")]
+    with pytest.raises(ValueError, match="Unsupported"):
+        files.extract(spark, paths)
+
+    def reader(content):
+        for i, part in enumerate(content.decode().split("|"), 1):
+            yield i, part, None
+        raise OSError("cut off")
+
+    rows = {r.file_name: r for r in files.extract(spark, paths, more={"xyz": reader}).collect()}
+    assert rows["a.xyz"].extraction_method == "xyz_parse" and rows["a.xyz"].full_text == "un\n\ndeux" and rows["a.xyz"].total_pages == 2
+    assert rows["a.xyz"].warnings == ["XYZ extraction error: cut off"] and rows["b.txt"].full_text == "trois"

@@ -89,3 +89,33 @@ def test_prompts_and_client(spark):
     found = {r.id: (r.raw_reply, r.eval_count) for r in models.ask(asked, client, timeout=0.2, attempts=2).collect()}
     assert found == {0: ("A", 3), 1: (None, 0), 2: (None, 0), 3: (None, 0)}
     assert models.is_available(["gemma3:4b-it"], "gemma3:4b") and not models.is_available([], "x")
+
+
+def test_model_that_is_not_at_hand(spark, tmp_path):
+    path = tmp_path / "law.txt"
+    path.write_text(LAW, encoding="utf-8")
+    asked = []
+
+    def down(prompt, timeout):
+        asked.append(prompt)
+        raise ConnectionError
+
+    def gone():
+        raise ConnectionError
+
+    for listed, tried in ((lambda: ["other"], ["test"]), (gone, [])):
+        asked.clear()
+        row = run(spark, [str(path)], 2, model=Model(client=down, listed=listed)).cleaning.first()
+        assert not row.llm_available and row.warnings == ["Ollama not available. Skipping LLM correction."] and asked == tried
+    assert Model(client=answer, listed=lambda: ["gemma3:4b-it"]).available and not Model().available
+    loads = Model("later", client=lambda prompt, timeout: ("x", 1), listed=list)
+    assert loads.available and loads.available
+
+
+def test_chunk_size_and_length_change_of_a_model(spark, tmp_path):
+    path = tmp_path / "law.txt"
+    path.write_text("Premier alinéa du texte.\n\nSecond alinéa du texte.", encoding="utf-8")
+    short = Model(client=lambda prompt, timeout: (prompt.split("\n\n", 1)[1][:-3], 1), max_chunk=30, max_length_change=0.1)
+    row = run(spark, [str(path)], 2, model=short).cleaning.first()
+    assert row.chunks_processed == 2 and row.chunks_corrected_by_llm == 0 and "Text length changed too much" in row.warnings[0]
+    assert run(spark, [str(path)], 2, model=Model(client=short.client)).cleaning.first().chunks_corrected_by_llm == 1
