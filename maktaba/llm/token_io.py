@@ -36,6 +36,8 @@ HEADER = "<4s4q"
 #: Bound on the ids of a block, but for a single longer document.
 BLOCK_IDS = 2 << 20
 SLICE_BYTES = 6 << 20
+#: Values decoded at a time, a multiple of four, so that running sums and places stay small.
+DECODE_IDS = 1 << 18
 NO_ID = -(1 << 63)
 
 
@@ -66,13 +68,16 @@ def encode_values(values: np.ndarray) -> tuple[bytes, bytes]:
 
 def decode_values(control: bytes, data: bytes, count: int) -> np.ndarray:
     """The values again: the table gives each value's length, running sums their places, four masked reads their bytes."""
-    lengths = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:count]
-    starts = np.cumsum(lengths, dtype=np.int64) - lengths
-    raw = np.frombuffer(data, np.uint8)
-    out = np.zeros(count, np.uint32)
-    for k in range(int(lengths.max(initial=0))):
-        has = slice(None) if k == 0 else np.flatnonzero(lengths > k)
-        out[has] |= raw[starts[has] + k].astype(np.uint32) << np.uint32(8 * k)
+    codes, raw = np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8)
+    out, at = np.zeros(count, np.uint32), 0
+    for lo in range(0, count, DECODE_IDS):
+        some = out[lo : lo + DECODE_IDS]
+        lengths = LENGTHS[codes[lo // 4 : (lo + len(some) + 3) // 4]].ravel()[: len(some)]
+        starts = at + np.cumsum(lengths, dtype=np.int64) - lengths
+        at = int(starts[-1]) + int(lengths[-1])
+        for k in range(int(lengths.max())):
+            has = slice(None) if k == 0 else np.flatnonzero(lengths > k)
+            some[has] |= raw[starts[has] + k].astype(np.uint32) << np.uint32(8 * k)
     return out
 
 

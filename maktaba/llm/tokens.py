@@ -60,6 +60,11 @@ class PieceEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (null: empty), one after the other, and how many each text has."""
+        found = self._encode(texts)
+        pa.default_memory_pool().release_unused()  # else a worker keeps what its largest slice took
+        return found
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         odd = np.ones(len(texts), bool) if self._feed is None else _is_odd(texts)
         counts = np.zeros(len(texts), np.int64)

@@ -66,7 +66,9 @@ def test_packing(texts, tokenizer, window):
     assert packing.pack(texts([]), FILE).count() == 0
 
 
-def test_values_round_trip():
+@pytest.mark.parametrize("at_once", [token_io.DECODE_IDS, 4, 64])
+def test_values_round_trip(monkeypatch, at_once):
+    monkeypatch.setattr(token_io, "DECODE_IDS", at_once)
     rng = np.random.default_rng(0)
     for n in (0, 1, 3, 4, 5, 1000):
         values = (rng.integers(0, 2**32, n, dtype=np.uint64) >> rng.integers(0, 32, n, dtype=np.uint64)).astype(np.uint32)
