@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ NO_ID = (1 << 63) - 1
 
 
 def write_packs(docs: DataFrame, folder: str, id_column: str, text_column: str, carried: Column | None = None, *, size: int = PACK_BYTES) -> DataFrame:
-    """Writes the texts (or bytes), and what is to come out again with them, as packs; pack and n_docs of each.
+    """Writes the texts (or bytes), and what is to come out again with them, as packs; pack, n_docs and first id of each.
 
     A null text is written as an empty one; a null id keeps its being null; rows with equal ids stay apart; an empty table
     writes no pack; a text longer than `size` has a pack of its own.
@@ -46,9 +47,9 @@ def write_packs(docs: DataFrame, folder: str, id_column: str, text_column: str,
                 for part in (press.compress(head), press.compress(data.tobytes()), press.compress(more)):
                     f.write(len(part).to_bytes(8, "little"))
                     f.write(part)
-            yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([len(ids)])], names=["pack", "n_docs"])
+            yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([len(ids)]), pa.array([pc.min(ids).as_py()], pa.int64())], names=["pack", "n_docs", "first"])
 
-    return staged(rows.mapInArrow(save, "pack string, n_docs long"), "packs")
+    return staged(rows.mapInArrow(save, "pack string, n_docs long, first long"), "packs")
 
 
 def _written(batch: pa.RecordBatch) -> bytes:

@@ -41,6 +41,32 @@ def test_dedup_against_brute_force(texts, monkeypatch, pack, hot):
     assert all(sum(s.end - s.start for s in r.spans) == r.n_bytes - len(r.kept) for r in found)
 
 
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 0])
+def test_dedup_in_bundles_of_packs(texts, monkeypatch, hot):
+    bundled, to_buckets, sent = suffix_dedup.bundled, suffix_dedup.to_buckets, []
+    monkeypatch.setattr(suffix_dedup, "PACK_BYTES", 64)
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "CROWDED", hot)
+    monkeypatch.setattr(suffix_dedup, "bundled", lambda packs: bundled(packs.coalesce(1), 40))  # more than the chunks of a part
+    monkeypatch.setattr(suffix_dedup, "to_buckets", lambda rows: sent.append(rows.count()) or to_buckets(rows))
+    rows = some_texts(4, 60)
+    found = suffix_dedup.dedup(texts(rows)).collect()
+    assert sorted([(r.doc_id, r.n_bytes, bytes(r.kept)) for r in found], key=repr) == brute_removed(rows)
+    assert sent[0] <= 4 * 4 * 3 + 16  # about a blob for a part and a range, not for each of 60 packs and a range
+
+
+def test_answers_chunk_by_chunk():
+    told = suffix_dedup.Answers({1: np.array([5, 6, 7], np.uint8), 3: np.array([8], np.uint8)}, 4)
+    assert told.take(np.array([1, 0, 1])).tolist() == [5, 0, 6]
+    assert told.take(np.array([], np.int64)).tolist() == []
+    assert told.take(np.array([3, 2, 1])).tolist() == [8, 0, 7]
+
+
+def test_owners_of_phrases():
+    for ids in ([7] * 5, [3, -(1 << 62), packs.NO_ID, 3], list(range(0, 900, 3)) * 9, [1 << 40, 5] * 500):
+        assert suffix_dedup._owned(*suffix_dedup._owners(np.array(ids, np.int64)), len(ids)).tolist() == ids
+
+
 def test_dedup_of_a_passage_with_many_surroundings(texts, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "HOT", 50)
     monkeypatch.setattr(suffix_dedup, "CROWDED", 50)
