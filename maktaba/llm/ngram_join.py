@@ -268,7 +268,7 @@ def open_sets(pack: str, sizes: np.ndarray) -> list[np.ndarray]:
 
 
 def index_entries(files: DataFrame, buckets: int) -> DataFrame:
-    """Step 3: token, node, n of the indexed places."""
+    """Step 3: token, node, n and rest of the indexed places: rest members of the set, the token too, stand from there on."""
     manifest = files.select("pack", "sizes", "nodes")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,10 +297,12 @@ def index_entries(files: DataFrame, buckets: int) -> DataFrame:
                     times[places] = np.frombuffer(zlib.decompress(given[bucket]), "<u4")
                 order = np.lexsort((deal.values, times, deal.set))
                 nth = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                taken = order[(nth <= slack(sizes)[deal.set[order]]) & (times[order] >= 2)]
-                yield pa.RecordBatch.from_arrays([pa.array(deal.values[taken].astype(np.uint64).view(np.int64)), pa.array(nodes[deal.set[taken]]), pa.array(sizes[deal.set[taken]])], names=["token", "node", "n"])
+                chosen = (nth <= slack(sizes)[deal.set[order]]) & (times[order] >= 2)
+                taken = order[chosen]
+                n = sizes[deal.set[taken]]
+                yield pa.RecordBatch.from_arrays([pa.array(deal.values[taken].astype(np.uint64).view(np.int64)), pa.array(nodes[deal.set[taken]]), pa.array(n), pa.array(n - nth[chosen])], names=["token", "node", "n", "rest"])
 
-    return manifest.join(found, "pack").repartition(partitions(files)).mapInArrow(prefix, "token long, node long, n long")
+    return manifest.join(found, "pack").repartition(partitions(files)).mapInArrow(prefix, "token long, node long, n long, rest long")
 
 
 class PrefixTree:
@@ -446,6 +448,15 @@ def _fits(n, least, most):
     return (100 * F.col(most) >= PERCENT * F.col(n)) & (PERCENT * F.col(least) <= 100 * F.col(n))
 
 
+def _reaches(n, rest, m, other_rest):
+    """Whether two sets of n and m members may link and have no common member before a token from which rest and other_rest stand.
+
+    What two sets share from their first common token on is no more than the lesser rest, and a link needs so much. Linked
+    sets pass at that token, so it is enough to compare sets at tokens where they pass.
+    """
+    return (100 + PERCENT) * F.least(rest, other_rest) >= PERCENT * (n + m)
+
+
 def centre_trees(entries: DataFrame, round_: int) -> tuple[DataFrame, DataFrame]:
     """Step 4, its first rounds: asked and trees for links().
 
@@ -454,12 +465,12 @@ def centre_trees(entries: DataFrame, round_: int) -> tuple[DataFrame, DataFrame]
     entry at most. No task holds a token's nodes: the slots' firsts are partial aggregates.
     """
     slot = F.pmod(F.xxhash64("node", F.lit(-round_ - 1)), F.lit(CENTRES << round_))
-    firsts = entries.groupBy("token", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("node", F.lit(round_)).alias("nth"), "node", "n", "label")).alias("c"))
+    firsts = entries.groupBy("token", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("node", F.lit(round_)).alias("nth"), "node", "n", "rest", "label")).alias("c"))
     centres = firsts.groupBy("token").agg(F.sort_array(F.collect_list("c")).alias("c")).filter((F.size("c") > 1))  # one per slot at most
-    centres = centres.select("token", F.col("c.node").alias("nodes"), F.col("c.n").alias("sizes"), F.col("c.label").alias("labels")).withColumn("tree", F.xxhash64("nodes"))
+    centres = centres.select("token", F.col("c.node").alias("nodes"), F.col("c.n").alias("sizes"), F.col("c.rest").alias("rests"), F.col("c.label").alias("labels")).withColumn("tree", F.xxhash64("nodes"))
     centres = staged(centres, "centres")
-    other = lambda l, m: (l != F.col("label")) & (100 * F.least(m, "n") >= PERCENT * F.greatest(m, "n"))
-    rows = entries.join(centres, "token").filter(F.exists(F.arrays_zip("labels", "sizes"), lambda x: other(x["labels"], x["sizes"])))
+    other = lambda l, m, rest: (l != F.col("label")) & _reaches(F.col("n"), F.col("rest"), m, rest)
+    rows = entries.join(centres, "token").filter(F.exists(F.arrays_zip("labels", "sizes", "rests"), lambda x: other(x["labels"], x["sizes"], x["rests"])))
     asked = rows.select("tree", F.col("nodes")[0].alias("home"), F.col("node").alias("member"), "n", "label").distinct()
     return asked, centres.select("tree", "nodes", "labels").dropDuplicates(["tree"])
 
@@ -468,15 +479,15 @@ def block_trees(entries: DataFrame, open_tokens: DataFrame) -> tuple[DataFrame,
     """Step 4, its last round: trees of about BLOCK nodes of one family, which all nodes ask that may link with one of them.
 
     A family holds the nodes whose tokens lead to the same least label, so alike sets mostly share a tree. A node asks its
-    own tree and those after it that share a token with it, hold another label there, and fit its size. The rows of a
-    token meet its trees in a join, whose large partitions Spark can cut.
+    own tree and those after it that share a token with it, hold another label there, fit its size, and have enough left
+    from that token on. The rows of a token meet its trees in a join, whose large partitions Spark can cut.
     """
     family = entries.join(open_tokens.select("token", "lo"), "token").groupBy("node").agg(F.min("lo").alias("family"))
     sizes = family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     nodes = family.join(sizes, "family").select("node", F.xxhash64("family", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("tree"))
     rows = staged(entries.join(nodes, "node"), "blocks")
-    there = rows.groupBy("token", F.col("tree").alias("other")).agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.min("n").alias("n0"), F.max("n").alias("n1"))
-    met = rows.join(there, (rows["token"] == there["token"]) & (F.col("tree") <= F.col("other")) & ((F.col("l0") != F.col("label")) | (F.col("l1") != F.col("label"))) & _fits("n", "n0", "n1"))
+    there = rows.groupBy("token", F.col("tree").alias("other")).agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.min("n").alias("n0"), F.max("n").alias("n1"), F.max("rest").alias("rest1"))
+    met = rows.join(there, (rows["token"] == there["token"]) & (F.col("tree") <= F.col("other")) & ((F.col("l0") != F.col("label")) | (F.col("l1") != F.col("label"))) & _fits("n", "n0", "n1") & _reaches(F.col("n"), F.col("rest"), F.col("n0"), F.col("rest1")))
     asked = met.select(F.col("other").alias("tree"), F.col("other").alias("home"), F.col("node").alias("member"), "n", "label").distinct()
     members = rows.select("tree", "node", "label").distinct().groupBy("tree").agg(F.collect_list(F.struct("node", "label")).alias("c"))
     return asked, members.select("tree", F.col("c.node").alias("nodes"), F.col("c.label").alias("labels"))

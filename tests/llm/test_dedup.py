@@ -195,6 +195,15 @@ def test_join_against_brute_force(texts, monkeypatch, seed, centres, left):
     assert sorted([tuple(r) for r in found.collect()], key=repr) == brute_join(rows)
 
 
+@pytest.mark.parametrize(("rest", "asks"), [(89, True), (88, False)])
+def test_sets_are_compared_only_where_their_first_common_token_may_stand(spark, rest, asks):
+    # Sets of 100 that link share 89 members, so no less stands from their first common token on.
+    entries = spark.createDataFrame([(7, i, 100, rest, i) for i in range(20)], "token long, node long, n long, rest long, label long")
+    open_tokens = spark.createDataFrame([(7, 0)], "token long, lo long")
+    assert bool(ngram_join.centre_trees(entries, 0)[0].count()) == asks
+    assert bool(ngram_join.block_trees(entries, open_tokens)[0].count()) == asks
+
+
 def test_join_of_very_long_texts(texts):
     words = [f"w{i}" for i in range(110_000)]
     rows = [(3, " ".join(words)), (5, " ".join([*words[:60_000], "x", *words[60_001:]])), (7, " ".join(reversed(words)))]
